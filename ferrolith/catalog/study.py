@@ -205,13 +205,13 @@ def right_closed_bins(spark, folder):
 @query("self_vs_received", """
 WITH own AS (SELECT DISTINCT c_custkey, c_mktsegment, c_acctbal FROM customer),
 got AS (SELECT o_custkey AS c_custkey, avg(o_totalprice) AS received FROM orders GROUP BY 1)
-SELECT c_custkey, c_mktsegment, c_acctbal, round(received, 4) AS received FROM own JOIN got USING (c_custkey)
+SELECT c_custkey, c_mktsegment, c_acctbal, round(received, 7) AS received FROM own JOIN got USING (c_custkey)
 """)
 def self_vs_received(spark, folder):
     own = table(spark, folder, "customer").select("c_custkey", "c_mktsegment", "c_acctbal").distinct()
     orders = table(spark, folder, "orders").withColumnRenamed("o_custkey", "c_custkey")
     joined = joins.with_group_average(own, orders, "c_custkey", "o_totalprice", "received")
-    return joined.withColumn("received", F.round("received", 4))
+    return joined.withColumn("received", F.round("received", 7))
 
 
 @query("self_vs_received_corr", """

@@ -40,7 +40,9 @@ def clip(value: Column, low: float | None = None, high: float | None = None) ->
 
 
 def round_half_even(value: Column, digits: int = 0) -> Column:
-    return F.bround(value, digits)
+    """Scale, round half to even, scale back (what array libraries do)."""
+    scale = F.lit(float(10**digits))
+    return F.rint(value * scale) / scale
 
 
 def ordered_label(rules: Sequence[tuple[Column, str]], otherwise: str | None = None) -> Column:
