@@ -32,11 +32,9 @@ def words(text: Column, min_length: int = 2) -> Column:
 
 def bigrams(tokens: Column) -> Column:
     """Neighbouring token pairs joined by one space; empty for fewer than two tokens."""
-    pairs = F.transform(
-        F.sequence(F.lit(1), F.size(tokens) - 1),
-        lambda i: F.concat_ws(" ", F.element_at(tokens, i), F.element_at(tokens, i + 1)),
-    )
-    return F.when(F.size(tokens) >= 2, pairs).otherwise(F.array().cast("array<string>"))
+    following = F.slice(tokens, F.lit(2), F.size(tokens))
+    pairs = F.zip_with(tokens, following, lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.filter(pairs, lambda pair: pair.isNotNull())
 
 
 def split_list(text: Column, separator: str = ",") -> Column:
