@@ -25,8 +25,7 @@ def sales(spark, folder):
     rows = table(spark, folder, "lineitem").withColumns({n: c for n, c in dates.date_parts(F.col("l_shipdate")).items()})
     kept = selection.sigma_filter(rows, ["l_quantity", "l_discount", "l_tax"])
     keyed = kept.withColumn("row_id", F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
-    split = prepare.holdout(keyed, "row_id")
-    return prepare.folds(split.filter(~F.col("is_test")).unionByName(split.filter("is_test")), "row_id")
+    return prepare.folds(prepare.holdout(keyed, "row_id"), "row_id")
 
 
 def sales_sets(spark, folder):

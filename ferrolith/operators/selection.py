@@ -64,16 +64,17 @@ def sigma_filter(df: DataFrame, columns: Sequence[str], width: float = 3.0) -> D
     """Keep values within ``width`` standard deviations of the mean, column after column.
 
     Each column's statistics come from the rows the previous columns left
-    over. NULL values stay. The statistics are scalar subqueries: the rows
-    are filtered where they are, nothing is shuffled.
+    over, so they are fetched one by one (a single row each). The resulting
+    plan is one filter with literal limits, which reaches the scan. NULL
+    values stay.
     """
     kept = df
     for column in columns:
-        mean = kept.select(F.avg(column)).scalar()
-        spread = kept.select(F.stddev_samp(column)).scalar()
-        value = F.col(column)
-        inside = (value >= mean - spread * width) & (value <= mean + spread * width)
-        kept = kept.filter(inside | value.isNull())
+        stats = kept.agg(F.avg(column).alias("mean"), F.stddev_samp(column).alias("spread")).first()
+        if stats["mean"] is None or stats["spread"] is None:
+            continue
+        low, high = stats["mean"] - width * stats["spread"], stats["mean"] + width * stats["spread"]
+        kept = kept.filter(F.col(column).between(low, high) | F.col(column).isNull())
     return kept
 
 
