@@ -28,17 +28,24 @@ def with_ranges(df: DataFrame, order: str, ranges: int = 64) -> DataFrame:
     numeric = kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal")
     if numeric:
         steps = [i / ranges for i in range(1, ranges)]
-        limits = df.select(F.percentile_approx(order, steps, ranges * 100).alias("limits"))
+        limits = df.select(F.percentile_approx(order, steps, ranges * 20).alias("limits"))
     else:
         limits = (
             df.select(order).filter(F.col(order).isNotNull())
             .orderBy(F.xxhash64(order), order).limit(ranges)
             .agg(F.array_sort(F.array_distinct(F.collect_list(order))).alias("limits"))
         )
+    # Two steps: which block of limits, then where inside it.
+    block = max(1, int(ranges**0.5))
+    below = lambda edges: F.size(F.filter(edges, lambda edge: edge < F.col(order)))
+    bounds = limits.select(F.struct("limits", F.filter("limits", lambda edge, i: (i + 1) % block == 0).alias("coarse")).alias("b"))
     return (
-        df.withColumn("_limits", limits.scalar())
-        .withColumn(RANGE, F.size(F.filter("_limits", lambda edge: edge < F.col(order))))
-        .drop("_limits")
+        df.withColumn("_b", bounds.scalar())
+        .withColumn("_block", below(F.col("_b.coarse")) * block)
+        # Never NULL, so that a later join on it adds no filter that repeats the search below the aggregate.
+        .withColumn(RANGE, F.coalesce(
+            F.col("_block") + below(F.slice(F.col("_b.limits"), F.col("_block") + 1, F.lit(block))), F.lit(0)))
+        .drop("_b", "_block")
     )
 
 
@@ -50,7 +57,8 @@ def running_totals(df: DataFrame, order: str, sums: Sequence[str], by: Sequence[
     Group keys must not be NULL.
     """
     keys = [*by, RANGE]
-    ranged = with_ranges(df, order, ranges)
+    # One shuffle by range serves both the window and the range totals.
+    ranged = with_ranges(df, order, ranges).repartition(*keys)
     inside = W.partitionBy(*keys).orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
     local = ranged.select("*", *[F.sum(c).over(inside).alias(f"_in_{c}") for c in sums])
     before = W.partitionBy(*(by or [F.lit(0)])).orderBy(RANGE).rowsBetween(W.unboundedPreceding, -1)
@@ -82,10 +90,10 @@ def random_rank(df: DataFrame, row_id: str, seed: int, by: Sequence[str] = (),
     4096 even slices however large the group is; ranks inside a slice are
     shifted by the sizes of the slices before it.
     """
-    hashed = df.withColumn("_hash", hash_order(F.col(row_id), seed)).withColumn(
-        "_slice", F.substring("_hash", 1, 3)
-    )
     keys = [*by, "_slice"]
+    hashed = df.withColumn("_hash", hash_order(F.col(row_id), seed)).withColumn(
+        "_slice", F.coalesce(F.substring("_hash", 1, 3), F.lit(""))  # not NULL: the join needs no filter
+    ).repartition(*keys)
     inside = W.partitionBy(*keys).orderBy("_hash")
     ranked = hashed.withColumn("_pos", F.row_number().over(inside))
     before = W.partitionBy(*(by or [F.lit(0)])).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
@@ -142,8 +150,8 @@ def previous_row(df: DataFrame, entity: str, moment: str, row_id: str, carry: Se
     ``lag``; the first row of a slice takes the last row of the entity's
     preceding slice from a table with one row per (entity, slice).
     """
-    sliced = df.withColumn("_slice", F.date_trunc(slice_of, F.col(moment)))
     keys = [entity, "_slice"]
+    sliced = df.withColumn("_slice", F.date_trunc(slice_of, F.col(moment))).repartition(*keys)
     fields = [moment, *[c for c in carry if c != moment]]
     record = F.struct(*fields)
     inside = W.partitionBy(*keys).orderBy(moment, row_id)
