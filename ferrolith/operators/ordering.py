@@ -121,7 +121,10 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float],
         present = present.withColumn("_all", F.lit(1))
     counts = present.groupBy(*group, value).agg(F.count("*").alias("n"))
     ranked = running_totals(counts, value, ["n"], group, ranges)
-    sized = ranked.join(counts.groupBy(*group).agg(F.sum("n").alias("_size")), group)
+    if by:
+        sized = ranked.join(counts.groupBy(*group).agg(F.sum("n").alias("_size")), group)
+    else:
+        sized = ranked.withColumn("_size", counts.select(F.sum("n")).scalar())
     first, last = F.col("cum_n") - F.col("n"), F.col("cum_n")
     picks = []
     for p in probabilities:
