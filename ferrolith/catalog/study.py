@@ -387,3 +387,27 @@ SELECT l_returnflag, round(avg(l_quantity) - 25, 6) AS surplus FROM lineitem GRO
 def group_difference(spark, folder):
     means = aggregates.means(table(spark, folder, "lineitem"), ["l_quantity"], ["l_returnflag"])
     return means.select("l_returnflag", F.round(F.col("l_quantity") - 25, 6).alias("surplus"))
+
+
+@query("argmax_per_row", """
+SELECT l_orderkey, l_partkey, l_linenumber,
+       CASE WHEN l_discount >= l_tax AND l_discount >= l_quantity / 500 THEN 'l_discount'
+            WHEN l_tax >= l_quantity / 500 THEN 'l_tax' ELSE 'share' END AS best FROM lineitem
+""")
+def argmax_per_row(spark, folder):
+    rows = table(spark, folder, "lineitem").withColumn("share", F.col("l_quantity") / 500)
+    return selection.best_column(rows, ["l_discount", "l_tax", "share"]).select(
+        "l_orderkey", "l_partkey", "l_linenumber", "best")
+
+
+@query("grouped_means", """
+SELECT c_nationkey, round(avg(c_acctbal), 4) AS c_acctbal, round(avg(c_custkey), 4) AS c_custkey FROM customer GROUP BY 1
+""")
+def grouped_means(spark, folder):
+    means = aggregates.means(table(spark, folder, "customer"), ["c_acctbal", "c_custkey"], ["c_nationkey"])
+    return means.withColumns({c: F.round(c, 4) for c in ("c_acctbal", "c_custkey")})
+
+
+@query("distinct_rows", "SELECT DISTINCT o_custkey, o_orderstatus, o_orderpriority FROM orders")
+def distinct_rows(spark, folder):
+    return table(spark, folder, "orders").select("o_custkey", "o_orderstatus", "o_orderpriority").distinct()
