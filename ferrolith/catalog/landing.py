@@ -150,13 +150,13 @@ def rank_join_filter(spark, folder):
 
 @query("top_groups_after_join", f"""
 WITH {HOTELS_SQL}
-SELECT city, round(avg(rating), 6) AS rating, round(avg(latitude), 6) AS latitude, round(avg(longitude), 6) AS longitude,
-       round(avg(temperature_moyenne), 6) AS temperature_moyenne, count(name) AS n
+SELECT city, round(avg(rating), 9) AS rating, round(avg(latitude), 9) AS latitude, round(avg(longitude), 9) AS longitude,
+       round(avg(temperature_moyenne), 9) AS temperature_moyenne, count(name) AS n
 FROM ranked GROUP BY 1 ORDER BY avg(rating) DESC, city LIMIT 5
 """)
 def top_groups_after_join(spark, folder):
     best = trips.best_cities(ranked_hotels(spark, folder))
-    return best.withColumns({c: F.round(c, 6) for c in ("rating", "latitude", "longitude", "temperature_moyenne")})
+    return best.withColumns({c: F.round(c, 9) for c in ("rating", "latitude", "longitude", "temperature_moyenne")})
 
 
 @query("top_hotels", f"""
@@ -167,12 +167,12 @@ def top_hotels(spark, folder):
 
 
 RESIDENTS_SQL = """
-residents AS (SELECT 'AB' || lpad(CAST(c_custkey AS VARCHAR), 4, '0') || 'CD' AS plaque, c_mktsegment AS marque, c_name AS nom,
+residents AS (SELECT 'AB' || lpad(CAST(c_custkey AS VARCHAR), 9, '0') || 'CD' AS plaque, c_mktsegment AS marque, c_name AS nom,
                      CASE WHEN c_acctbal > 3000 THEN 'oui' ELSE 'non' END AS acces,
                      CASE WHEN c_nationkey > 12 THEN 'oui' ELSE 'non' END AS abonnement FROM customer),
 reads AS (SELECT event_id, ts, value / 100 AS conf,
-                 CASE event_id % 3 WHEN 0 THEN 'ab-' || lpad(CAST(user_id * 12 AS VARCHAR), 4, '0') || '-cd'
-                      WHEN 1 THEN 'AB ' || lpad(CAST(user_id * 12 AS VARCHAR), 4, '0') || ' CD' ELSE '' END AS plate_number,
+                 CASE event_id % 3 WHEN 0 THEN 'ab-' || lpad(CAST(user_id * 12 AS VARCHAR), 9, '0') || '-cd'
+                      WHEN 1 THEN 'AB ' || lpad(CAST(user_id * 12 AS VARCHAR), 9, '0') || ' CD' ELSE '' END AS plate_number,
                  CASE WHEN event_id % 4 = 0 THEN NULL WHEN event_id % 2 = 0 THEN 'BUILDING' ELSE 'machinery' END AS brand FROM events),
 decided AS (SELECT r.*, regexp_replace(upper(plate_number), '[^A-Z0-9]', '', 'g') AS normalized_plate, marque, nom, acces,
                    CASE WHEN acces = 'oui' THEN 'AUTHORISED' ELSE 'REFUSED' END AS decision
@@ -183,14 +183,14 @@ decided AS (SELECT r.*, regexp_replace(upper(plate_number), '[^A-Z0-9]', '', 'g'
 
 def residents(spark, folder):
     return table(spark, folder, "customer").select(
-        F.concat(F.lit("AB"), F.lpad(F.col("c_custkey").cast("string"), 4, "0"), F.lit("CD")).alias("plaque"),
+        F.concat(F.lit("AB"), F.lpad(F.col("c_custkey").cast("string"), 9, "0"), F.lit("CD")).alias("plaque"),
         F.col("c_mktsegment").alias("marque"), F.col("c_name").alias("nom"),
         F.when(F.col("c_acctbal") > 3000, "oui").otherwise("non").alias("acces"),
         F.when(F.col("c_nationkey") > 12, "oui").otherwise("non").alias("abonnement"))
 
 
 def as_reads(events):
-    number = F.lpad((F.col("user_id") * 12).cast("string"), 4, "0")
+    number = F.lpad((F.col("user_id") * 12).cast("string"), 9, "0")
     key = F.col("event_id")
     plate = F.when(key % 3 == 0, F.concat(F.lit("ab-"), number, F.lit("-cd"))).when(
         key % 3 == 1, F.concat(F.lit("AB "), number, F.lit(" CD"))).otherwise("")
@@ -238,10 +238,10 @@ def audit_log(spark, folder):
 
 @query("plate_history", f"""
 WITH {RESIDENTS_SQL}
-SELECT plate_number AS plaque, ts AS timestamp, decision AS resultat, normalized_plate FROM decided WHERE normalized_plate = 'AB0012CD'
+SELECT plate_number AS plaque, ts AS timestamp, decision AS resultat, normalized_plate FROM decided WHERE normalized_plate = 'AB000000012CD'
 """)
 def plate_history(spark, folder):
-    return access.history(access.audit_log(decided(spark, folder)), "ab 0012 cd")
+    return access.history(access.audit_log(decided(spark, folder)), "ab 000000012 cd")
 
 
 @query("resident_kpis", f"""
@@ -254,14 +254,14 @@ def resident_kpis(spark, folder):
 
 
 @query("resident_snapshot", f"""
-WITH {RESIDENTS_SQL}, base AS (SELECT *, CAST(substr(plaque, 3, 4) AS BIGINT) AS k FROM residents)
+WITH {RESIDENTS_SQL}, base AS (SELECT *, CAST(substr(plaque, 3, 9) AS BIGINT) AS k FROM residents)
 SELECT plaque, marque, nom, CASE WHEN k % 5 = 1 THEN (CASE WHEN acces = 'oui' THEN 'non' ELSE 'oui' END) ELSE acces END AS acces, abonnement
 FROM base WHERE k % 5 <> 0
 UNION ALL SELECT 'ZZ' || CAST(n_nationkey AS VARCHAR), n_name, 'new', 'oui', 'non' FROM nation
 """)
 def resident_snapshot(spark, folder):
     base = residents(spark, folder)
-    number = F.substring("plaque", 3, 4).cast("bigint")
+    number = F.substring("plaque", 3, 9).cast("bigint")
     old = base.withColumn("op", F.when(number % 5 == 0, "delete").when(number % 5 == 1, "toggle").otherwise("add"))
     new = table(spark, folder, "nation").select(
         F.concat(F.lit("ZZ"), F.col("n_nationkey").cast("string")).alias("plaque"), F.col("n_name").alias("marque"),
@@ -271,11 +271,11 @@ def resident_snapshot(spark, folder):
 
 
 @query("resident_search", f"""
-WITH {RESIDENTS_SQL} SELECT plaque, nom, acces FROM residents WHERE contains(lower(plaque), 'b01') OR contains(lower(nom), '0777')
+WITH {RESIDENTS_SQL} SELECT plaque, nom, acces FROM residents WHERE contains(lower(plaque), 'b00000001') OR contains(lower(nom), '0777')
 """)
 def resident_search(spark, folder):
     rows = residents(spark, folder)
-    hit = text.matches_search([F.col("plaque")], "B01") | text.matches_search([F.col("nom")], "0777")
+    hit = text.matches_search([F.col("plaque")], "B00000001") | text.matches_search([F.col("nom")], "0777")
     return rows.filter(hit).select("plaque", "nom", "acces")
 
 
