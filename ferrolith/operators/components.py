@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from ferrolith.session import settle
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node", rounds: int = 60) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFrame:
     """(``node``, ``component``): the smallest node each node is connected to.
 
     ``edges`` has columns ``a`` and ``b``. Alternates the two star operations
     (large-star, small-star), which need a logarithmic number of rounds also
-    for long chains. Each round is settled in the shared folder, so lost
+    for long chains, until nothing changes. Each round is settled in the shared folder, so lost
     executors do not restart the loop. A hub's edge list is the streamed side
     of a join with one row per node, which adaptive execution splits.
     """
@@ -22,15 +22,13 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node",
         .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     )
     before = None
-    for _ in range(rounds):
+    while True:
         links = settle(_small_star(_large_star(links)))
         state = links.agg(
             F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if (state["n"], state["h"]) == before:
             break
         before = (state["n"], state["h"])
-    else:
-        raise RuntimeError("components did not settle; raise the number of rounds")
     roots = links.select(F.col("a").alias(node), F.col("b").alias("component"))
     return nodes.select(node).join(roots, node, "left").select(
         node, F.coalesce("component", node).alias("component"))

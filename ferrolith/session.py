@@ -29,16 +29,24 @@ def build_session(app: str = "ferrolith", cores: str | int = "*", partitions: in
     return spark
 
 
+_LOCAL: list[str] = []
+_SETTLED: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, else a local one."""
+    """Folder every executor can reach: ``spark.checkpoint.dir``.
+
+    Only a session on a local master may leave it unset; it then gets a folder
+    of this machine. On a cluster an unset folder is an error.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        current = tempfile.mkdtemp(prefix="ferrolith-")
-        spark.sparkContext.setCheckpointDir(current)
-    return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not _LOCAL:
+        _LOCAL.append(tempfile.mkdtemp(prefix="ferrolith-"))
+    return _LOCAL[0]
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -46,13 +54,23 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once and continue from the files.
+def settle(df: DataFrame, label: str = "settled") -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder once and continue from the files.
 
-    Survives executor loss, cuts the lineage of iterative jobs and keeps a
-    plan used several times from being computed several times.
+    Survives executor loss, cuts the lineage of iterative jobs, keeps a plan
+    used several times from being computed several times, and later readers
+    take only the columns they need. ``clean_up`` removes the files.
     """
-    shared_dir(df.sparkSession)
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    _SETTLED.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Delete every folder ``settle`` wrote in this process; call it when no result is read any more."""
+    n = len(_SETTLED)
+    while _SETTLED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SETTLED.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
