@@ -94,8 +94,8 @@ reach AS (
 SQL = {
     "op5_embedding_near_dedup": f"""
 WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
-  WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding, x -> x IS NOT NULL AND isfinite(x)))
-    AND list_bool_or(list_transform(embedding, x -> x <> 0))),
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
 edges AS (SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.label = q.label AND p.vec_id <> q.vec_id
   WHERE list_cosine_similarity(p.e, q.e) >= 0.98),
 nodes AS (SELECT vec_id AS node FROM embeddings), {_COMPONENTS}
@@ -103,8 +103,8 @@ SELECT node AS vec_id, (SELECT count(*) FROM edges e WHERE e.a = node) AS n_link
 FROM reach GROUP BY node""",
     "op7_ngram_jaccard_join": f"""
 WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\x0B\\f\\r]+'), x -> x <> '') AS w FROM documents),
-sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' '))
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM documents),
+sets AS (SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
     WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
 items AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sets),
 edges AS (SELECT p.doc_id AS a, q.doc_id AS b FROM items p JOIN items q ON p.x = q.x AND p.doc_id <> q.doc_id
