@@ -32,7 +32,7 @@ TABLE_SCOPE = {"table"}
 CLOSE_P = BLOCKS - {"body", "html", "li", "tr", "td", "th", "tbody", "thead", "tfoot", "caption", "option", "optgroup", "legend"} | {"hr"}
 HEAD_ONLY = frozenset("base link meta title style script template noscript".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
+TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>", re.DOTALL)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
 WHITE = re.compile(r"[ \t\n\r\f]+")
@@ -58,7 +58,7 @@ def build_tree(page: str) -> Node:
     """The element tree of a page; end tags that HTML implies are supplied, stray ones ignored."""
     root = Node("html")
     stack = [root]
-    at = 0
+    at, last = 0, page.rfind(">")
 
     def close(tags: set[str], scope: set[str]) -> None:
         """Close the outermost open element of ``tags`` inside ``scope``, with all in it."""
@@ -72,7 +72,7 @@ def build_tree(page: str) -> Node:
             del stack[found:]
 
     while at < len(page):
-        m = TOKEN.search(page, at)
+        m = TOKEN.search(page, at) if at <= last else None
         text = page[at:m.start()] if m else page[at:]
         if text:
             stack[-1].children.append(html.unescape(text))
