@@ -13,7 +13,7 @@ SPACE = " \t\n\x0b\x0c\r\x85\xa0  -     　"
 TWO_SPACES = re.compile(f"[{SPACE}][{SPACE}]|^[{SPACE}]|[{SPACE}]$")
 CHUNKS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: Pieces kept per Python worker; when full the store starts anew, results stay the same.
-KEPT_PIECES = 800_000
+KEPT_PIECES = 1_500_000
 
 
 class PieceEncoder:
