@@ -298,8 +298,8 @@ def kmeans_measures(spark, folder):
 
 def topic_model(spark, folder):
     tokens = words.one_and_two_grams(text.clean_message(F.col("text")))
-    weights = settle(words.tfidf(table(spark, folder, "documents"), "doc_id", tokens, 2, 0.85, 1000))
-    return weights, grouping.topics(weights, "doc_id", 10)
+    weights = settle(words.tfidf(table(spark, folder, "documents"), "doc_id", tokens, 2, 0.85, 3000))
+    return weights, grouping.topics(weights, "doc_id", 15)
 
 
 @query("lsa_topics")
