@@ -44,7 +44,7 @@ def op3_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    rows = quality.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    rows = quality.quality_rules(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels"), carry_text=False)
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
 
 

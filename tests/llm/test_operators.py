@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -151,6 +152,8 @@ def test_quality(spark, folder, odd, none, monkeypatch):
     assert got == {i: r.n_repeat_words for i, r in rows.items()}
     assert quality.quality_rules(odd, labels.filter("1 = 0")).filter("base_failed").count() == odd.count()
     assert quality.quality_rules(none, labels).count() == 0
+    bare = quality.quality_rules(docs, labels, carry_text=False)
+    assert "text" not in bare.columns and bare.filter("kept").count() == sum(r.kept for r in rows.values())
 
 
 def test_quality_ratio(spark, folder):
@@ -158,16 +161,23 @@ def test_quality_ratio(spark, folder):
     sample = quality.labelled_sample(table(spark, folder, "labels"))
     good = {r["_id"]: r["_good"] for r in sample.collect()}
     buckets = 50
-    both = {r.doc_id: [x for w in quality.with_counts(docs.filter(F.col("doc_id") == r.doc_id)).select(
-        F.transform("_words", lambda a, i: F.array(quality._bucket(a, buckets=buckets), quality._bucket(
-            a, F.get(F.col("_words"), i + 1), buckets=buckets)))).first()[0] for x in w] for r in docs.limit(6).collect()}
+
+    def grams(text):
+        h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in WORDS.findall(text or "")]
+        seeds = [xxhash.xxh64_intdigest(x.to_bytes(8, "little"), 42) for x in h]
+        pairs = [xxhash.xxh64_intdigest(y.to_bytes(8, "little"), x) for x, y in zip(seeds, h[1:], strict=False)] + seeds[-1:]
+        signed = [x - (1 << 64) if x >> 63 else x for x in h + pairs]
+        return [x % buckets for x in signed]
+
+    both = {r.doc_id: grams(r.text) for r in docs.limit(6).collect()}
     few = docs.filter(F.col("doc_id").isin(list(both)))
     raw, fine = Counter(x for v in both.values() for x in v), Counter(x for i, v in both.items() if good.get(i) == 1 for x in v)
-    ratios = quality.fit_ratios(few, sample, buckets=buckets)
+    counted = quality.with_counts(few, buckets=buckets)
+    ratios = quality.fit_ratios(counted, sample, buckets=buckets)
     raws, fines = sum(raw.values()) + buckets, sum(fine.values()) + buckets
     want = [math.log((fine[b] + 1) / fines) - math.log((raw[b] + 1) / raws) for b in range(buckets)]
     assert ratios == pytest.approx(want)
-    for r in quality.with_ratio(quality.with_counts(few), ratios).collect():
+    for r in quality.with_ratio(counted, ratios).collect():
         assert r.ratio == pytest.approx(sum(want[b] for b in both[r.doc_id]) / len(both[r.doc_id]))
 
 
