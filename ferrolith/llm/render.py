@@ -5,7 +5,10 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,13 +32,22 @@ CLOSES = {
 }
 SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}, "optgroup": {"select"}}
 TABLE_SCOPE = {"table"}
+#: A start tag of the key in a table closes all above the innermost of the value; elements that hold only such parts.
+SECTIONS = {"tbody", "thead", "tfoot"}
+TABLE_PARTS = {
+    "caption": TABLE_SCOPE, "colgroup": TABLE_SCOPE, "col": {"table", "colgroup"}, **dict.fromkeys(SECTIONS, TABLE_SCOPE),
+    "tr": {"table", *SECTIONS}, "td": {"table", "tr", *SECTIONS}, "th": {"table", "tr", *SECTIONS},
+}
+TABLE_FRAME = {"table", "tr", "colgroup", *SECTIONS}
+TABLE_CELLS = {"td", "th", "caption"}
 CLOSE_P = BLOCKS - {"body", "html", "li", "tr", "td", "th", "tbody", "thead", "tfoot", "caption", "option", "optgroup", "legend"} | {"hr"}
 HEAD_ONLY = frozenset("base link meta title style script template noscript".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>", re.DOTALL)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
-WHITE = re.compile(r"[ \t\n\r\f]+")
+SPACE = " \t\n\r\f"
+WHITE = re.compile(f"[{SPACE}]+")
 #: Deeper elements join their ancestor at this depth, which bounds the stack.
 MOST_DEPTH = 400
 
@@ -55,27 +67,49 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def build_tree(page: str) -> Node:
-    """The element tree of a page; end tags that HTML implies are supplied, stray ones ignored."""
+    """The element tree of a page; tags that HTML implies are supplied, stray end tags ignored.
+
+    Content that a table may not hold outside its cells goes before the table, as
+    in browsers; a form there holds nothing.
+    """
     root = Node("html")
     stack = [root]
+    places: defaultdict[str, list[int]] = defaultdict(list)
     at, last = 0, page.rfind(">")
 
+    def top(tags: Iterable[str]) -> int:
+        """Place of the innermost open element of ``tags``, 0 for none."""
+        return max((places[t][-1] for t in tags if places[t]), default=0)
+
+    def cut(k: int) -> None:
+        for node in reversed(stack[k:]):
+            places[node.tag].pop()
+        del stack[k:]
+
     def close(tags: set[str], scope: set[str]) -> None:
         """Close the outermost open element of ``tags`` inside ``scope``, with all in it."""
-        found = None
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in scope:
-                break
-            if stack[k].tag in tags:
-                found = k
-        if found is not None:
-            del stack[found:]
+        least = top(scope)
+        found = [places[t][k] for t in tags if places[t] and (k := bisect_right(places[t], least)) < len(places[t])]
+        if found:
+            cut(min(found))
+
+    def put(child: Node | str) -> None:
+        """Add to the open element, or before the table where only rows and cells may be."""
+        table = top(TABLE_SCOPE)
+        if not table or stack[-1].tag not in TABLE_FRAME or not isinstance(child, str) and child.tag in TABLE_PARTS:
+            stack[-1].children.append(child)
+        elif not isinstance(child, str) or child.strip(SPACE):
+            stack[table - 1].children.insert(-1, child)
+
+    def push(node: Node) -> None:
+        places[node.tag].append(len(stack))
+        stack.append(node)
 
     while at < len(page):
         m = TOKEN.search(page, at) if at <= last else None
         text = page[at:m.start()] if m else page[at:]
         if text:
-            stack[-1].children.append(html.unescape(text))
+            put(html.unescape(text))
         if not m:
             break
         at = m.end()
@@ -83,25 +117,30 @@ def build_tree(page: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            scope = TABLE_SCOPE if tag != "table" and tag not in CLOSES else set()
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if stack[k].tag in scope and tag not in ("html", "body"):
-                    break
+            if (k := top({tag})) > (0 if tag == "table" else top(TABLE_SCOPE)):
+                cut(k)
             continue
-        if tag in ("html", "body") and (tag == "html" or any(n.tag == "body" for n in stack)):
+        if tag in ("html", "body") and (tag == "html" or places["body"]):
             continue
-        if tag in CLOSES:
+        table = top(TABLE_SCOPE)
+        between = table > top(TABLE_CELLS)
+        if tag == "table" and between:
+            cut(table)
+        elif table and tag in TABLE_PARTS:
+            cut(top(TABLE_PARTS[tag]) + 1)
+            if tag in ("td", "th") and stack[-1].tag != "tr":
+                row = Node("tr")
+                put(row)
+                push(row)
+        elif tag in CLOSES:
             close(CLOSES[tag], SCOPE.get(tag, TABLE_SCOPE))
         if tag in CLOSE_P:
             close({"p"}, {"table", "td", "th", "li", "button", "div", "blockquote"})
         if stack[-1].tag == "head" and tag not in HEAD_ONLY:
-            stack.pop()
+            cut(len(stack) - 1)
         node = Node(tag, _attributes(m[3]) if m[3].strip() else None)
-        stack[-1].children.append(node)
-        if tag in VOID or m[3].endswith("/") and tag not in BLOCKS and tag not in RAW:
+        put(node)
+        if tag in VOID or m[3].endswith("/") and tag not in BLOCKS and tag not in RAW or tag == "form" and between:
             continue
         if tag in RAW:
             end = re.compile(f"</{tag}\\b[^>]*>", re.IGNORECASE).search(page, at)
@@ -110,7 +149,7 @@ def build_tree(page: str) -> Node:
             node.children.append(html.unescape(raw) if tag in ("textarea", "title") else raw)
             at = end.end() if end else len(page)
         elif len(stack) < MOST_DEPTH:
-            stack.append(node)
+            push(node)
     return root
 
 
@@ -236,51 +275,69 @@ def _plain(node: Node) -> str:
     return "".join(c if isinstance(c, str) else "\n" if c.tag == "br" else _plain(c) if visible(c) else "" for c in node.children)
 
 
-def _rows(node: Node) -> Iterator[Node]:
-    for child in node.children:
+def _rows(table: Node) -> Iterator[tuple[int, Node]]:
+    """(number of the section, row); rows outside sections are one section."""
+    for k, child in enumerate(table.children):
         if not isinstance(child, str) and visible(child):
             if child.tag == "tr":
-                yield child
-            elif child.tag in ("thead", "tbody", "tfoot"):
-                yield from _rows(child)
+                yield -1, child
+            elif child.tag in SECTIONS:
+                yield from ((k, row) for row in child.children if not isinstance(row, str) and row.tag == "tr" and visible(row))
+
+
+def _span(cell: Node, name: str, most: int) -> int:
+    span = cell.attributes.get(name, "1").strip(SPACE)
+    return min(int(span), most) if span.isascii() and span.isdecimal() and len(span) < 10 else most if span.isdecimal() else 1
 
 
 def _table(node: Node) -> list[str]:
-    """Caption, then rows with cells padded to the width of their column; spans take their columns, stray content comes first."""
+    """Caption, then rows with cells padded to the width of their column; spans take their columns and rows."""
     lines: list[str] = []
     stray = Lines()
     for child in node.children:
         if isinstance(child, str):
             stray.text(child)
-        elif child.tag not in ("tr", "thead", "tbody", "tfoot", "colgroup") and visible(child):
+        elif child.tag not in TABLE_FRAME and visible(child):
             _element(child, stray, [])
     stray.end()
     lines += stray.lines
-    grid: list[list[list[str]]] = []
-    for row in _rows(node):
-        cells: list[list[str]] = []
+    grid: list[dict[int, list[str]]] = []
+    taken: dict[int, int] = {}  # the first row below the cell that reaches down in a column
+    section = None
+    for number, (part, row) in enumerate(_rows(node)):
+        if part != section:
+            section, taken = part, {}
+        cells: dict[int, list[str]] = {}
+        column = 0
         for cell in row.children:
-            if isinstance(cell, str):
-                if cell.strip():
-                    cells.append([WHITE.sub(" ", cell).strip()])
-            elif visible(cell):
-                inner = Lines()
-                _render(cell, inner, []) if cell.tag in ("td", "th") else _element(cell, inner, [])
-                inner.end()
-                cells.append(inner.lines)
-                span = cell.attributes.get("colspan", "1")
-                cells += [[]] * (min(int(span), 1000) - 1 if span.isdecimal() else 0)
-        if any(cells):
+            if isinstance(cell, str) or not visible(cell):
+                continue
+            while taken.get(column, 0) > number:
+                column += 1
+            inner = Lines()
+            _render(cell, inner, [])
+            inner.end()
+            if inner.lines:
+                cells[column] = inner.lines
+            wide, high = max(1, _span(cell, "colspan", 1000)), _span(cell, "rowspan", 65534)
+            if high != 1:
+                taken.update(dict.fromkeys(range(column, column + wide), number + (high or 65534)))
+            column += wide
+        if cells:
             grid.append(cells)
-    widths: list[int] = []
+    widths = [0] * (1 + max((max(cells) for cells in grid), default=-1))
     for cells in grid:
-        widths += [0] * (len(cells) - len(widths))
-        for k, cell in enumerate(cells):
-            widths[k] = max(widths[k], *map(text_width, cell), 0)
+        for k, cell in cells.items():
+            widths[k] = max(widths[k], *map(text_width, cell))
+    starts = [0, *accumulate(w + 2 for w in widths)]
     for cells in grid:
-        for k in range(max(map(len, cells))):
-            parts = [cell[k] if k < len(cell) else "" for cell in cells]
-            lines.append("  ".join(p + " " * (w - text_width(p)) for p, w in zip(parts, widths, strict=False)).rstrip())
+        for k in range(max(map(len, cells.values()))):
+            line, wide = [], 0
+            for column, cell in cells.items():
+                if k < len(cell) and cell[k]:
+                    line += [" " * (starts[column] - wide), cell[k]]
+                    wide = starts[column] + text_width(cell[k])
+            lines.append("".join(line).rstrip())
     return lines
 
 
