@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 #: Elements by behaviour.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("script style head title template noscript iframe object audio video canvas svg math datalist meta link".split())
+HIDDEN = frozenset("script style head title template noscript iframe object audio video canvas datalist meta link".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 "
     "h5 h6 header hgroup html legend li main menu nav ol optgroup option p pre section summary table tbody tfoot thead tr td th ul caption".split())
@@ -43,20 +43,38 @@ TABLE_CELLS = {"td", "th", "caption"}
 CLOSE_P = BLOCKS - {"body", "html", "li", "tr", "td", "th", "tbody", "thead", "tfoot", "caption", "option", "optgroup", "legend"} | {"hr"}
 HEAD_ONLY = frozenset("base link meta title style script template noscript".split())
 
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>", re.DOTALL)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
-UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
 SPACE = " \t\n\r\f"
+#: A quote opens a value only after "="; one that is never closed is part of a name.
+NAME = f"[^{SPACE}/>][^{SPACE}/>=]*+"
+EQUALS = f"[{SPACE}]*+=[{SPACE}]*+"
+BARE = f"[^{SPACE}\"'>][^{SPACE}>]*+"
+TOKEN = re.compile(
+    f"<!--.*?(?:-->|$)|<![^>]*>|<\\?[^>]*>|<(/?)([a-zA-Z][^{SPACE}/>]*+)"
+    f"((?:[{SPACE}/]|{NAME}(?:{EQUALS}(?:\"[^\"]*+\"|'[^']*+'|{BARE}|(?=>)))?+)*+)>", re.DOTALL)
+ATTRIBUTE = re.compile(f"({NAME})(?:{EQUALS}(?:\"([^\"]*+)\"|'([^']*+)'|({BARE})|$))?+")
+UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.IGNORECASE)
 WHITE = re.compile(f"[{SPACE}]+")
-#: Deeper elements join their ancestor at this depth, which bounds the stack.
+#: The content of deeper elements that are seen joins their ancestor at this depth, which bounds the layout.
 MOST_DEPTH = 400
+#: What is not drawn in svg and math, where text in them is drawn, elements in which HTML begins anew, tags that end both.
+UNDRAWN = {
+    "svg": frozenset("desc defs metadata symbol clippath mask marker pattern lineargradient radialgradient filter".split()),
+    "math": frozenset("annotation annotation-xml".split()),
+}
+FOREIGN = {"svg", "math"}
+ANEW = frozenset("foreignobject mi mo mn ms mtext".split())
+BREAKOUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li menu meta nobr ol p pre ruby s small span "
+    "strong strike sub sup table tt u ul var".split())
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "children")
+    __slots__ = ("tag", "attributes", "children", "apart", "seen", "deep")
 
     def __init__(self, tag: str, attributes: dict[str, str] | None = None):
         self.tag, self.attributes, self.children = tag, attributes or {}, []
+        self.apart = False  # drawn at its own place
+        self.seen, self.deep = True, False
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -82,9 +100,11 @@ def build_tree(page: str) -> Node:
         return max((places[t][-1] for t in tags if places[t]), default=0)
 
     def cut(k: int) -> None:
-        for node in reversed(stack[k:]):
+        for _ in range(len(stack) - k):
+            node = stack.pop()
             places[node.tag].pop()
-        del stack[k:]
+            if node.deep and node.seen and node.tag in BLOCKS:
+                node.children.append(Node("div"))
 
     def close(tags: set[str], scope: set[str]) -> None:
         """Close the outermost open element of ``tags`` inside ``scope``, with all in it."""
@@ -93,22 +113,37 @@ def build_tree(page: str) -> Node:
         if found:
             cut(min(found))
 
+    def foreign() -> str | None:
+        """svg or math when its own rules hold here."""
+        k = top(FOREIGN)
+        return stack[k].tag if k > top(ANEW) else None
+
     def put(child: Node | str) -> None:
         """Add to the open element, or before the table where only rows and cells may be."""
         table = top(TABLE_SCOPE)
         if not table or stack[-1].tag not in TABLE_FRAME or not isinstance(child, str) and child.tag in TABLE_PARTS:
             stack[-1].children.append(child)
         elif not isinstance(child, str) or child.strip(SPACE):
-            stack[table - 1].children.insert(-1, child)
+            above = stack[table - 1].children
+            above.insert(len(above) - (not stack[table].deep), child)
 
     def push(node: Node) -> None:
+        """Open an element that has been put; deep down only its text and breaks stay, or nothing if it is not seen."""
+        if node.deep:
+            node.seen = visible(node)
+            if node.seen:
+                node.children = stack[-1].children
+                if node.tag in BLOCKS:
+                    node.children.append(Node("div"))
         places[node.tag].append(len(stack))
         stack.append(node)
 
     while at < len(page):
         m = TOKEN.search(page, at) if at <= last else None
         text = page[at:m.start()] if m else page[at:]
-        if text:
+        if text and not (foreign() == "svg" and top({"text"}) < top({"svg"})):
+            if stack[-1].tag == "head" and text.strip(SPACE):
+                cut(len(stack) - 1)
             put(html.unescape(text))
         if not m:
             break
@@ -122,6 +157,12 @@ def build_tree(page: str) -> Node:
             continue
         if tag in ("html", "body") and (tag == "html" or places["body"]):
             continue
+        if tag == "head" and (len(stack) > 1 or any(not isinstance(c, str) or c.strip(SPACE) for c in root.children)):
+            continue
+        if foreign() and tag in BREAKOUT:
+            while foreign():
+                cut(top(FOREIGN))
+        inside = foreign()
         table = top(TABLE_SCOPE)
         between = table > top(TABLE_CELLS)
         if tag == "table" and between:
@@ -130,7 +171,9 @@ def build_tree(page: str) -> Node:
             cut(top(TABLE_PARTS[tag]) + 1)
             if tag in ("td", "th") and stack[-1].tag != "tr":
                 row = Node("tr")
-                put(row)
+                row.deep = len(stack) >= MOST_DEPTH
+                if not row.deep:
+                    put(row)
                 push(row)
         elif tag in CLOSES:
             close(CLOSES[tag], SCOPE.get(tag, TABLE_SCOPE))
@@ -139,16 +182,22 @@ def build_tree(page: str) -> Node:
         if stack[-1].tag == "head" and tag not in HEAD_ONLY:
             cut(len(stack) - 1)
         node = Node(tag, _attributes(m[3]) if m[3].strip() else None)
-        put(node)
-        if tag in VOID or m[3].endswith("/") and tag not in BLOCKS and tag not in RAW or tag == "form" and between:
+        if inside and tag in UNDRAWN[inside]:
+            node.attributes["hidden"] = ""
+        node.apart = inside == "svg" and (tag == "text" or tag == "tspan" and not node.attributes.keys().isdisjoint(("x", "y", "dy")))
+        leaf = tag in VOID or m[3].endswith("/") and (inside or tag not in BLOCKS and tag not in RAW) or tag == "form" and between
+        node.deep = len(stack) >= MOST_DEPTH - (4 if tag == "table" else 0)  # a table is laid out with its cells or not at all
+        if leaf or not node.deep or tag in RAW and not inside:
+            put(node)
+        if leaf:
             continue
-        if tag in RAW:
+        if tag in RAW and not inside:
             end = re.compile(f"</{tag}\\b[^>]*>", re.IGNORECASE).search(page, at)
             stop = end.start() if end else len(page)
             raw = page[at:stop]
             node.children.append(html.unescape(raw) if tag in ("textarea", "title") else raw)
             at = end.end() if end else len(page)
-        elif len(stack) < MOST_DEPTH:
+        else:
             push(node)
     return root
 
@@ -267,6 +316,10 @@ def _element(node: Node, out: Lines, item: list[str | None]) -> None:
         else:
             _render(node, out, item)
         out.spaced() if tag in SPACED else out.end()
+    elif node.apart:
+        out.text(" ")
+        _render(node, out, item)
+        out.text(" ")
     else:
         _render(node, out, item)
 
