@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 #: Letters are dealt to this many symbols (0 is the gap between words); a trigram is three symbols.
 SYMBOLS = 128
 DIMENSIONS = 1024
+#: Share of the labelled texts that may be odd (mislabelled, mostly names or numbers) and do not lower their language's floor.
+ODD_SHARE = 0.001
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -154,3 +156,35 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "text
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return docs.mapInArrow(predict, f"{kinds}, lang_pred string, score double")
+
+
+def score_floors(scored: DataFrame, lang: str = "lang") -> dict[str, float]:
+    """Least score of each language: half of what all but ``ODD_SHARE`` of its rightly named labelled texts reach.
+
+    ``scored`` is the result of ``identify`` for the labelled rows. Scores are
+    counted in steps of a thousandth; a language without such rows has no floor.
+    """
+    step = F.floor(F.col("score") * 1000).cast("int").alias("step")
+    right = scored.filter(F.col(f"`{lang}`") == F.col("lang_pred"))
+    steps: dict[str, list[tuple[int, int]]] = {}
+    for r in right.groupBy("lang_pred", step).agg(F.count("*").alias("n")).collect():  # 1001 rows a language at most
+        steps.setdefault(r["lang_pred"], []).append((r["step"], r["n"]))
+    floors: dict[str, float] = {}
+    for name, held in steps.items():
+        odd = ODD_SHARE * sum(n for _, n in held)
+        below = 0
+        for at, n in sorted(held):
+            below += n
+            if below > odd:
+                floors[name] = at / 2000
+                break
+    return floors
+
+
+def near_languages(scored: DataFrame, floors: dict[str, float]) -> DataFrame:
+    """Rows of ``identify`` with a language whose floor the score reaches."""
+    known = scored.filter(F.col("lang_pred") != "und")
+    if not floors:
+        return known
+    floor = F.create_map(*(F.lit(x) for item in sorted(floors.items()) for x in item))[F.col("lang_pred")]
+    return known.filter(F.col("score") >= F.coalesce(floor, F.lit(0.0)))
