@@ -1,7 +1,6 @@
 """Model queries (rows-only: fitted models have no SQL twin).
 
-The library defaults are the studies' settings; the queries shorten the long
-searches (fewer trees and rounds) and always use every row.
+The library defaults are the studies' settings; the queries use them, and every row.
 """
 
 from pyspark.ml import PipelineModel
@@ -76,7 +75,7 @@ def pricing_sets(spark, folder):
 @query("rf_regress_grid")
 def rf_regress_grid(spark, folder):
     train, test, _ = pricing_sets(spark, folder)
-    model, best = regression.forest(train, "price", "fold", trees=(5, 10), depths=(5, 10), splits=(2,))
+    model, best = regression.forest(train, "price", "fold")
     row = regression.evaluated("forest", model, train, test, "price")
     return row.withColumns({k: F.lit(float(v)) for k, v in best.items()})
 
@@ -84,13 +83,13 @@ def rf_regress_grid(spark, folder):
 @query("gbt_regress")
 def gbt_regress(spark, folder):
     train, test, _ = pricing_sets(spark, folder)
-    return regression.evaluated("boosting", regression.boosting(train, "price", maxIter=15), train, test, "price")
+    return regression.evaluated("boosting", regression.boosting(train, "price"), train, test, "price")
 
 
 @query("feature_importance")
 def feature_importance(spark, folder):
     train, _, fitted = pricing_sets(spark, folder)
-    model = regression.boosting(train, "price", maxIter=10)
+    model = regression.boosting(train, "price")
     weights = features.weight_table(spark, fitted.names, model.featureImportances, "importance")
     return weights.orderBy(F.desc("importance"), "feature").limit(20)
 
@@ -116,9 +115,9 @@ def batch_score(spark, folder):
 def model_run_log(spark, folder):
     train, test, _ = pricing_sets(spark, folder)
     linear = regression.evaluated("linear", regression.ordinary(train, "price"), train, test, "price")
-    boosted = regression.evaluated("boosting", regression.boosting(train, "price", maxIter=5), train, test, "price")
+    boosted = regression.evaluated("boosting", regression.boosting(train, "price"), train, test, "price")
     compared = evaluate.compare_models(linear.unionByName(boosted), "model", "test_r2")
-    return regression.run_log(compared.drop("is_best"), "pricing", {"boosting": {"maxIter": 5}, "linear": {}})
+    return regression.run_log(compared.drop("is_best"), "pricing", {"boosting": regression.BOOSTING, "linear": {}})
 
 
 def visits(spark, folder):
@@ -145,7 +144,7 @@ def visit_sets(spark, folder):
 @query("gbt_classify")
 def gbt_classify(spark, folder):
     train, test = visit_sets(spark, folder)
-    model = classification.boosted(train, "converted", maxIter=8, maxDepth=4, stepSize=0.2)
+    model = classification.boosted(train, "converted")
     scored = model.transform(test).select("converted", classification.probability().alias("score"))
     best = evaluate.best_threshold(evaluate.threshold_sweep(scored, "converted", "score"))
     return best.withColumn("roc_auc", evaluate.roc_auc(scored, "converted", "score").scalar())
@@ -166,22 +165,27 @@ def monotone_logit(spark, folder):
 @query("boosted_search")
 def boosted_search(spark, folder):
     train, _ = visit_sets(spark, folder)
-    grid = {"maxDepth": (2, 3), "maxIter": (3,), "stepSize": (0.2,)}
-    _, best, score = classification.search_boosted(train, "converted", "fold", grid)
+    _, best, score = classification.search_boosted(train, "converted", "fold")
     return spark.createDataFrame([(float(score), *map(float, best.values()))], "mean_f1 double, " + ", ".join(f"{k} double" for k in best))
 
 
 @query("oof_average")
 def oof_average(spark, folder):
-    """Out-of-fold scores plus rule score: threshold, F1 and AUC."""
+    """Test rows by the average of the fold models plus rule score, decided by the out-of-fold threshold; its F1 and AUC."""
     train, test = visit_sets(spark, folder)
-    fit = lambda rows, i: classification.boosted(rows, "converted", seed=42 + i, maxIter=4, maxDepth=3, stepSize=0.2)
-    inside, _ = classification.out_of_fold(train, test, fit, "id")
-    joined = train.drop("features", "prediction").join(inside, "id")
-    final = settle(prepare.rule_score(joined, train).select(
-        "id", "converted", prepare.boosted_score("score").alias("score")))
-    sweep = evaluate.threshold_sweep(final, "converted", "score", evaluate.linear_grid(0.05, 0.6, 500))
-    return evaluate.best_threshold(sweep).withColumn("roc_auc", evaluate.roc_auc(final, "converted", "score").scalar())
+    return averaged(train, test, lambda rows, i: classification.boosted(rows, "converted", seed=42 + i))
+
+
+def averaged(train, test, fit):
+    inside, outside = classification.out_of_fold(train, test, fit, "id")
+    final = lambda rows, scores: prepare.rule_score(rows.drop("features", "prediction").join(scores, "id"), train).withColumn(
+        "score", prepare.boosted_score("score"))
+    known = settle(final(train, inside).select("id", "converted", "score"))
+    sweep = evaluate.threshold_sweep(known, "converted", "score", evaluate.linear_grid(0.05, 0.6, 500))
+    best = evaluate.best_threshold(sweep).first()
+    return final(test, outside).select(
+        "id", "score", (F.col("score") >= best["threshold"]).cast("int").alias("converted"), F.lit(best["threshold"]).alias("threshold"),
+        F.lit(best["f1"]).alias("oof_f1"), evaluate.roc_auc(known, "converted", "score").scalar().alias("oof_roc_auc"))
 
 
 def messages(spark, folder):
@@ -218,8 +222,8 @@ def _sparse_vector(cells, width):
 def mlp_wordvec(spark, folder):
     rows = messages(spark, folder)
     train = rows.filter(~F.col("is_test"))
-    vectors = Word2Vec(vectorSize=32, minCount=1, inputCol="tokens", outputCol="features", maxIter=1, seed=42).fit(train)
-    model = classification.small_network(vectors.transform(train), "label", [32, 24, 2], rounds=30)
+    vectors = Word2Vec(vectorSize=32, minCount=1, inputCol="tokens", outputCol="features", maxIter=15, seed=42).fit(train)
+    model = classification.small_network(vectors.transform(train), "label", [32, 24, 2])
     predicted = model.transform(vectors.transform(rows.filter("is_test"))).withColumn("p", F.col("prediction").cast("int"))
     return evaluate.binary_metrics(predicted, "label", "p").withColumn("model", F.lit("word vectors"))
 
@@ -229,7 +233,7 @@ def mlp_embeddings(spark, folder):
     vectors = table(spark, folder, "embeddings").select(
         "vec_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
     rows = settle(prepare.holdout(vectors, "vec_id", by=["label"]))
-    model = classification.small_network(rows.filter(~F.col("is_test")), "label", [64, 64, 32, 10], rounds=40)
+    model = classification.small_network(rows.filter(~F.col("is_test")), "label", [64, 64, 32, 10])
     predicted = model.transform(rows.filter("is_test")).withColumn("p", F.col("prediction").cast("int"))
     return evaluate.class_report(predicted, "label", "p")
 
@@ -267,7 +271,7 @@ def rf_zone(spark, folder):
     rows = settle(prepare.holdout(timed, "event_id"))
     train, test = rows.filter(~F.col("is_test")), rows.filter("is_test")
     fitted = features.fit_features(train, ["hour"], ["weekday"])
-    model = classification.zone_forest(fitted.transform(train), "label", trees=10)
+    model = classification.zone_forest(fitted.transform(train), "label")
     right = model.transform(fitted.transform(test)).select(F.avg((F.col("prediction") == F.col("label")).cast("double")))
     return features.weight_table(spark, fitted.names, model.featureImportances, "importance").withColumn(
         "accuracy", right.scalar())
