@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrolith.llm import bpe, chat, forest, jaccard, langid, packing, ppm, quality, render, token_file
+from ferrolith.llm import bpe, chat, filter_audit, forest, jaccard, langid, mixture, packing, ppm, quality, render, token_file
 from ferrolith.session import new_folder, settle
 from ferrolith.sources.tables import table
 
@@ -81,9 +81,18 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", (fold("doc_id", 7) == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op13_source_mixture(spark: SparkSession, folder: str) -> DataFrame:
+    return mixture.mix_copies(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_file, op2_best_fit_packing, op3_chat_format, op4_quality_rules, op5_embedding_near_dedup, op6_language_id,
-    op7_ngram_jaccard_join, op8_bpe, op9_html_text, op10_lm_scoring)}
+    op7_ngram_jaccard_join, op8_bpe, op9_html_text, op10_lm_scoring,
+    op11_filter_audit, op13_source_mixture)}
 
 _COMPONENTS = """
 reach AS (
@@ -92,6 +101,8 @@ reach AS (
 """
 
 SQL = {
+    "op11_filter_audit": filter_audit.SQL,
+    "op13_source_mixture": mixture.SQL,
     "op5_embedding_near_dedup": f"""
 WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
