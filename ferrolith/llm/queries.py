@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferrolith.llm import bpe, chat, filter_audit, forest, jaccard, langid, mixture, packing, ppm, quality, render, token_file
+from ferrolith.llm import bpe, chat, filter_audit, forest, jaccard, langid, mixture, negatives, packing, ppm, quality, render, token_file
 from ferrolith.session import new_folder, settle
 from ferrolith.sources.tables import table
 
@@ -85,6 +85,11 @@ def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.audit_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, folder, "embeddings"), F.col("id") % 100 == 0, label=label)
+
+
 def op13_source_mixture(spark: SparkSession, folder: str) -> DataFrame:
     return mixture.mix_copies(table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -92,7 +97,7 @@ def op13_source_mixture(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_token_file, op2_best_fit_packing, op3_chat_format, op4_quality_rules, op5_embedding_near_dedup, op6_language_id,
     op7_ngram_jaccard_join, op8_bpe, op9_html_text, op10_lm_scoring,
-    op11_filter_audit, op13_source_mixture)}
+    op11_filter_audit, op12_hard_negatives, op13_source_mixture)}
 
 _COMPONENTS = """
 reach AS (
@@ -102,6 +107,7 @@ reach AS (
 
 SQL = {
     "op11_filter_audit": filter_audit.SQL,
+    "op12_hard_negatives": negatives.SQL,
     "op13_source_mixture": mixture.SQL,
     "op5_embedding_near_dedup": f"""
 WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
