@@ -14,8 +14,10 @@ SPACES = r"[ \x09-\x0D]+"
 #: Weights of the sources in their order, repeating, and the most copies of a document.
 WEIGHTS = (5, 2, 1)
 MOST_COPIES = 3
-#: Documents of one source and size that are numbered in one task; more are cut into ranges of their hash.
-ROWS = 16_384
+#: Documents of one source and size that are numbered in one window; more are cut into ranges of their hash.
+ROWS = 1024
+#: Shares that the rows of one source and size are dealt into where the table of crowded ones, copied as often, is joined to them.
+SHARES = 32
 
 
 def word_count(text: Column) -> Column:
@@ -60,6 +62,12 @@ def source_targets(sized: DataFrame, weights: Sequence[int] = WEIGHTS, most: int
         F.col("_cap").cast("double"), F.coalesce(level.scalar(), first.scalar()) * F.col("_weight")).alias("target")), "targets")
 
 
+def _told(rows: DataFrame, crowded: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``rows`` left-joined with the small table ``crowded``; a hot key is spread over ``SHARES`` tasks."""
+    copied = crowded.withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))))
+    return rows.withColumn("_share", F.pmod(F.xxhash64("_row"), F.lit(SHARES)).cast("int")).join(copied, [*keys, "_share"], "left").drop("_share")
+
+
 def _numbered(sized: DataFrame, seed: int, rows: int) -> DataFrame:
     """``sized`` with ``_place``: 1, 2, 3 … within the source, largest documents first, equal ones by hash of the id.
 
@@ -69,11 +77,11 @@ def _numbered(sized: DataFrame, seed: int, rows: int) -> DataFrame:
     """
     cell = ["_key", "size"]
     crowded = sized.groupBy(*cell).agg(F.ceil(F.count("*") / rows).alias("_cuts")).filter("_cuts > 1")
-    hashed = sized.withColumn("_hash", hash_order(F.col("doc_id"), seed)).join(crowded, cell, "left")
+    hashed = _told(sized.withColumn("_hash", hash_order(F.col("doc_id"), seed)), crowded, cell)
     at = F.conv(F.substring("_hash", 1, 8), 16, 10).cast("long")
     dealt = hashed.withColumn("_slice", F.shiftright(at * F.coalesce("_cuts", F.lit(1)), 32))
     repeated = dealt.filter("_cuts > 1").groupBy(*cell, "_slice").agg(F.count("*").alias("_n")).filter(F.col("_n") > 2 * rows)
-    dealt = dealt.join(repeated, [*cell, "_slice"], "left").withColumn(
+    dealt = _told(dealt, repeated, [*cell, "_slice"]).withColumn(
         "_part", F.pmod(F.col("_row"), F.coalesce(F.ceil(F.col("_n") / rows), F.lit(1))))
     keys = [*cell, "_slice", "_part"]
     parts = dealt.repartition(*keys)
