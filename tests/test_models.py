@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ferrolith.models import classification, features, grouping, regression
+from ferrolith.models import boosting, classification, features, grouping, regression
 from ferrolith.operators import evaluate, prepare, words
 from ferrolith.session import settle
 
@@ -51,9 +51,10 @@ def test_regression_quality_and_log(spark, prices):
     fitted = features.fit_features(train, ["size"], ["kind"], ["flag"])
     a, b = settle(fitted.transform(train)), settle(fitted.transform(test))
     linear = regression.evaluated("linear", regression.ordinary(a, "price"), a, b, "price")
-    forest, best = regression.forest(a, "price", "fold", trees=(5,), depths=(4, 6), splits=(2,), k=5)
-    both = linear.unionByName(regression.evaluated("forest", forest, a, b, "price"))
-    assert set(best) == {"numTrees", "maxDepth", "minInstancesPerNode"}
+    best = {"numTrees": 5, "maxDepth": 6}
+    inputs = boosting.plan_features(train, ["size", "flag"], onehot=["kind"])
+    forest = boosting.fit_forest(boosting.cells_of(train, inputs, "price", "id"), inputs, 5, 6, 2)
+    both = linear.unionByName(regression.scored("forest", forest.predicted(train, "price"), forest.predicted(test, "price"), "price"))
     compared = {r["model"]: r for r in evaluate.compare_models(both, "model", "test_r2").collect()}
     assert compared["linear"]["test_r2"] > 0.98 and compared["linear"]["is_best"]
     log = {r["model"]: r for r in regression.run_log(both, "r1", {"forest": best}).collect()}
@@ -84,14 +85,9 @@ def test_monotone_logit_never_turns(spark, visits):
     assert auc > 0.85
 
 
-def test_out_of_fold_covers_every_row(spark, visits):
-    fitted = features.fit_features(visits, ["age", "pages"], ["land"])
-    ready = settle(fitted.transform(visits))
-    fit = lambda rows, i: classification.boosted(rows, "y", seed=i, maxIter=2, maxDepth=2)
-    inside, outside = classification.out_of_fold(ready, ready.limit(20), fit, "id", k=3)
-    assert inside.count() == ready.filter("fold < 3").count() and outside.count() == 20
-    decisions = classification.submission(outside, "id", 0.5)
-    assert set(decisions.columns) == {"id", "converted"}
+def test_submission(visits):
+    decisions = classification.submission(visits.select("id", (F.col("pages") / 25).alias("score")), "id", 0.5)
+    assert set(decisions.columns) == {"id", "converted"} and decisions.filter("converted = 1").count() == visits.filter("pages >= 12.5").count()
 
 
 def test_topics_split_two_vocabularies(spark):
