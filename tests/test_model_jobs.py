@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ferrolith.catalog import models
 from ferrolith.models import boosting, regression
-from ferrolith.operators.dbscan_text import choose
+from ferrolith.operators.dbscan_sweep import choose
 
 
 class Asked(Exception):
