@@ -1,4 +1,4 @@
-"""Model queries (rows-only: fitted models have no SQL twin).
+"""Model queries. Linear fits have a SQL twin; other fitted models return rows only.
 
 The library defaults are the studies' settings; the queries use them, and every row.
 """
@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from ferrolith.catalog.registry import query
 from ferrolith.functions import dates, numbers, text
-from ferrolith.models import boosting, classification, features, grouping, regression
+from ferrolith.models import boosting, classification, features, grouping, linear, regression
 from ferrolith.operators import evaluate, prepare, selection, words
+from ferrolith.operators.ordering import random_rank
 from ferrolith.session import new_folder, settle
 from ferrolith.sources.tables import table
 
@@ -20,42 +21,100 @@ CATEGORIES = ["l_returnflag", "l_linestatus"]
 
 
 def sales(spark, folder):
-    """Cleaned sales rows with date parts, outliers removed, an id and a hold-out flag."""
+    """Cleaned sales rows with date parts, outliers removed, an id, a hold-out flag and folds from one random rank."""
     rows = table(spark, folder, "lineitem").withColumns({n: c for n, c in dates.date_parts(F.col("l_shipdate")).items()})
     kept = selection.sigma_filter(rows, ["l_quantity", "l_discount", "l_tax"])
     keyed = kept.withColumn("row_id", F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
-    return prepare.folds(prepare.holdout(keyed, "row_id"), "row_id")
+    ranked = random_rank(keyed, "row_id", 42, name="rank")
+    size = keyed.select(F.count("*")).scalar()
+    return ranked.select("*", (F.col("rank") <= F.ceil(size * F.lit(0.2))).alias("is_test"), ((F.col("rank") - 1) % 5).cast("int").alias("fold"))
 
 
-def sales_sets(spark, folder):
-    rows = settle(sales(spark, folder))
+def sales_products(spark, folder):
+    """Training and hold-out rows, the model's inputs, and the sums by fold of the training rows."""
+    rows = settle(sales(spark, folder).select("row_id", "l_extendedprice", "fold", "is_test", *NUMERIC, *CATEGORIES))
     train, test = rows.filter(~F.col("is_test")), rows.filter("is_test")
-    clean = features.clean_inputs(train, CATEGORIES, [], train)
-    fitted = features.fit_features(clean, NUMERIC, CATEGORIES, drop_first=True, impute=True)
-    ready = lambda df: fitted.transform(features.clean_inputs(df, CATEGORIES, [], train)).select(
-        "row_id", "l_extendedprice", "fold", "features")
-    return settle(ready(train)), ready(test), fitted
+    inputs = linear.scaled_inputs(train, NUMERIC, CATEGORIES)
+    return train, test, inputs, linear.products(train, inputs, "l_extendedprice", "fold", 5)
+
+
+# The SQL twins: sums of products of (1, inputs, label), then elimination or coordinate descent over lists.
+_SALES = """
+WITH RECURSIVE parts AS (SELECT concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber) AS row_id, l_extendedprice AS y, l_quantity, l_discount,
+    l_tax, year(l_shipdate)::DOUBLE AS yr, month(l_shipdate)::DOUBLE AS mo, day(l_shipdate)::DOUBLE AS dy, (isodow(l_shipdate) - 1)::DOUBLE AS wd,
+    l_returnflag AS rf, l_linestatus AS ls FROM lineitem),
+s1 AS (SELECT * FROM parts WHERE l_quantity BETWEEN (SELECT avg(l_quantity) - 3 * stddev_samp(l_quantity) FROM parts) AND (SELECT avg(l_quantity) + 3 * stddev_samp(l_quantity) FROM parts)),
+s2 AS (SELECT * FROM s1 WHERE l_discount BETWEEN (SELECT avg(l_discount) - 3 * stddev_samp(l_discount) FROM s1) AND (SELECT avg(l_discount) + 3 * stddev_samp(l_discount) FROM s1)),
+s3 AS (SELECT * FROM s2 WHERE l_tax BETWEEN (SELECT avg(l_tax) - 3 * stddev_samp(l_tax) FROM s2) AND (SELECT avg(l_tax) + 3 * stddev_samp(l_tax) FROM s2)),
+ranked AS (SELECT *, row_number() OVER (ORDER BY md5(row_id || '#42')) AS rk, count(*) OVER () AS n FROM s3),
+split AS (SELECT *, rk <= ceil(n * 0.2::DOUBLE) AS is_test, (rk - 1) % 5 AS fold FROM ranked),
+st AS (SELECT avg(l_quantity) AS m1, stddev_pop(l_quantity) AS d1, avg(l_discount) AS m2, stddev_pop(l_discount) AS d2, avg(l_tax) AS m3, stddev_pop(l_tax) AS d3,
+    avg(yr) AS m4, stddev_pop(yr) AS d4, avg(mo) AS m5, stddev_pop(mo) AS d5, avg(dy) AS m6, stddev_pop(dy) AS d6, avg(wd) AS m7, stddev_pop(wd) AS d7
+  FROM split WHERE NOT is_test),
+v AS (SELECT fold, is_test, y, [1.0, (l_quantity - m1) / d1, (l_discount - m2) / d2, (l_tax - m3) / d3, (yr - m4) / d4, (mo - m5) / d5, (dy - m6) / d6,
+    (wd - m7) / d7, (rf = 'N')::INT, (rf = 'R')::INT, (ls = 'O')::INT, y]::DOUBLE[] AS v FROM split, st),
+agg AS (SELECT fold, i, j, sum(v[i] * v[j]) AS s FROM v, range(1, 13) a(i), range(1, 13) b(j) WHERE NOT is_test GROUP BY ALL),
+"""
+_SYSTEMS = """
+jobs AS (SELECT unnest({alphas})::DOUBLE AS alpha, f FROM range(-1, 5) r(f)),
+cells AS (SELECT alpha, f, i, j, sum(s) FILTER (fold <> f) AS s FROM agg, jobs GROUP BY ALL),
+lines AS (SELECT alpha, f, i, list(s + {penalty} ORDER BY j) AS r FROM cells WHERE i <= 11 GROUP BY ALL),
+mats AS (SELECT alpha, f, list(r ORDER BY i) AS m FROM lines GROUP BY ALL),
+"""
+_GAUSS = """
+gauss AS (SELECT alpha, f, 1 AS k, m FROM mats UNION ALL
+  SELECT alpha, f, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN list_transform(r, lambda x: x / m[k][k])
+    ELSE list_transform(r, lambda x, j: x - r[k] * m[k][j] / m[k][k]) END) FROM gauss WHERE k <= 11),
+fits AS (SELECT alpha, f, list_transform(m, lambda r: r[12]) AS b FROM gauss WHERE k = 12)
+"""
+_DESCENT = """
+descent AS (SELECT alpha, f, 0 AS k, m, list_transform(range(11), lambda x: 0.0::DOUBLE) AS b FROM mats UNION ALL
+  SELECT alpha, f, k + 1, m, list_transform(b, lambda x, i: CASE WHEN i <> k % 11 + 1 THEN x ELSE
+    sign(m[i][12] - list_dot_product(m[i][1:11], b) + m[i][i] * x) * greatest(abs(m[i][12] - list_dot_product(m[i][1:11], b) + m[i][i] * x)
+      - CASE WHEN i > 1 THEN alpha * m[1][1] ELSE 0 END, 0) / m[i][i] END) FROM descent WHERE k < 11 * 150),
+fits AS (SELECT alpha, f, b FROM descent WHERE k = 11 * 150)
+"""
+_EVALUATED = """,
+scored AS (SELECT alpha, f, is_test, y, list_dot_product(b, v[1:11]) AS p FROM fits JOIN v ON (f = -1) OR (NOT is_test AND fold = f)),
+r2 AS (SELECT alpha, f, is_test, 1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2, sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae
+  FROM scored GROUP BY ALL),
+best AS (SELECT alpha FROM r2 WHERE f >= 0 GROUP BY alpha ORDER BY avg(r2) DESC, alpha LIMIT 1)
+SELECT '{name}' AS model, round(a.r2, 9) AS train_r2, round(t.r2, 9) AS test_r2, round(t.rmse, 6) AS test_rmse, round(t.mae, 6) AS test_mae, alpha
+FROM best JOIN r2 a USING (alpha) JOIN r2 t USING (alpha) WHERE a.f = -1 AND t.f = -1 AND NOT a.is_test AND t.is_test
+"""
 
 
-@query("ols")
+def _cross_validated_sql(name, alphas):
+    penalty = "CASE WHEN i = j AND i > 1 THEN alpha ELSE 0 END" if name == "ridge" else "0"
+    return _SALES + _SYSTEMS.format(alphas=list(alphas), penalty=penalty) + (_GAUSS if name == "ridge" else _DESCENT) + _EVALUATED.format(name=name)
+
+
+@query("ols", _SALES + _SYSTEMS.format(alphas=[0], penalty="0") + _GAUSS + """,
+named AS (SELECT unnest(['l_quantity', 'l_discount', 'l_tax', 'year', 'month', 'day', 'weekday', 'l_returnflag_N', 'l_returnflag_R', 'l_linestatus_O']) AS feature,
+  round(unnest(b[2:]), 6) AS coefficient FROM fits WHERE f = -1)
+SELECT * FROM named
+""")
 def ols(spark, folder):
-    train, test, fitted = sales_sets(spark, folder)
-    model = regression.ordinary(train, "l_extendedprice")
-    return features.weight_table(spark, fitted.names, model.coefficients)
+    _, _, _, sums = sales_products(spark, folder)
+    return features.weight_table(spark, sums.names, linear.ridge_weights(sums.total)[1:]).withColumn("coefficient", F.round("coefficient", 6))
+
+
+def cross_validated(spark, folder, name):
+    train, test, inputs, sums = sales_products(spark, folder)
+    weights, alpha = linear.chosen(sums, lasso=name == "lasso")
+    price = linear.predicted(inputs, weights)
+    row = regression.scored(name, train.withColumn("prediction", price), test.withColumn("prediction", price), "l_extendedprice")
+    return row.select("model", *[F.round(c, 9 if c.endswith("r2") else 6).alias(c) for c in row.columns[1:]], F.lit(float(alpha)).alias("alpha"))
 
 
-@query("ridge_cv")
+@query("ridge_cv", _cross_validated_sql("ridge", regression.RIDGE_ALPHAS))
 def ridge_cv(spark, folder):
-    train, test, _ = sales_sets(spark, folder)
-    model, alpha = regression.ridge(train, "l_extendedprice", "fold")
-    return regression.evaluated("ridge", model, train, test, "l_extendedprice").withColumn("alpha", F.lit(float(alpha)))
+    return cross_validated(spark, folder, "ridge")
 
 
-@query("lasso_cv")
+@query("lasso_cv", _cross_validated_sql("lasso", regression.LASSO_ALPHAS))
 def lasso_cv(spark, folder):
-    train, test, _ = sales_sets(spark, folder)
-    model, alpha = regression.lasso(train, "l_extendedprice", "fold")
-    return regression.evaluated("lasso", model, train, test, "l_extendedprice").withColumn("alpha", F.lit(float(alpha)))
+    return cross_validated(spark, folder, "lasso")
 
 
 PRICING = {"numeric": ["p_size", "name_length"], "categories": ["p_brand", "p_type"], "flags": ["is_large", "is_even"]}

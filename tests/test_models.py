@@ -7,7 +7,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from ferrolith.models import boosting, classification, features, grouping, regression
+from ferrolith.models import boosting, classification, features, grouping, linear, regression
 from ferrolith.operators import evaluate, prepare, words
 from ferrolith.session import settle
 
@@ -35,15 +35,81 @@ def test_scaling_uses_population_deviation_and_unknown_is_zero(spark, prices):
     assert list(dropped.transform(other).first()["features"].toArray()[1:]) == [0.0, 0.0]
 
 
-def test_ridge_matches_closed_form(spark, prices):
-    fitted = features.fit_features(prices, ["size"], ["kind"], ["flag"])
-    ready = settle(fitted.transform(prices))
-    model, alpha = regression.ridge(ready, "price", "fold", alphas=(10.0,))
-    rows = ready.select(vector_to_array("features").alias("x"), "price").collect()
-    x, y = np.array([r["x"] for r in rows]), np.array([r["price"] for r in rows])
+def plain_inputs(df, numeric, category):
+    rows = df.collect()
+    x = np.array([[r[c] if r[c] is not None else np.nan for c in numeric] for r in rows], float)
+    x = np.where(np.isnan(x), np.nanmean(x, axis=0), x)
+    kinds = [r[category] for r in rows]
+    most = max(sorted({k for k in kinds if k}), key=kinds.count)
+    hot = np.array([[(k or most) == v for v in sorted({k for k in kinds if k})[1:]] for k in kinds], float)
+    return np.column_stack([(x - x.mean(axis=0)) / x.std(axis=0), hot]), np.array([r["price"] for r in rows]), np.array([r["fold"] for r in rows])
+
+
+@pytest.fixture(scope="module")
+def gaps(prices):
+    """Some numbers and categories are missing."""
+    return settle(prices.withColumn("size", F.when(F.col("id") % 11 != 0, F.col("size"))).withColumn("kind", F.when(F.col("id") % 13 != 0, F.col("kind"))))
+
+
+@pytest.fixture(scope="module")
+def sums(gaps):
+    inputs = linear.scaled_inputs(gaps, ["size", "flag"], ["kind"])
+    assert list(inputs) == ["size", "flag", "kind_suv", "kind_van"]
+    return linear.products(gaps, inputs, "price", "fold", 5)
+
+
+def test_sums_by_fold(gaps, sums):
+    x, y, fold = plain_inputs(gaps, ["size", "flag"], "kind")
+    v = np.column_stack([np.ones(len(x)), x, y])
+    for k in range(5):
+        assert sums.folds[k] == pytest.approx(v[fold == k].T @ v[fold == k])
+
+
+@pytest.mark.parametrize("alpha", [0.0, 1.0, 50.0])
+def test_ridge_matches_closed_form(gaps, sums, alpha):
+    x, y, _ = plain_inputs(gaps, ["size", "flag"], "kind")
     xc, yc = x - x.mean(axis=0), y - y.mean()
-    expected = np.linalg.solve(xc.T @ xc + alpha * np.eye(x.shape[1]), xc.T @ yc)
-    assert model.coefficients.toArray() == pytest.approx(expected, rel=1e-4, abs=1e-4)
+    want = np.linalg.solve(xc.T @ xc + alpha * np.eye(x.shape[1]), xc.T @ yc)
+    weights = linear.ridge_weights(sums.total, alpha)
+    assert weights[1:] == pytest.approx(want) and weights[0] == pytest.approx(y.mean() - x.mean(axis=0) @ want)
+
+
+@pytest.mark.parametrize("alpha", [0.01, 0.5, 3.0, 100.0])
+def test_lasso_is_optimal(gaps, sums, alpha):
+    """The conditions of the optimum: the gradient is alpha with the weight's sign, and at most alpha where it is 0."""
+    x, y, _ = plain_inputs(gaps, ["size", "flag"], "kind")
+    weights = linear.lasso_weights(sums.total, alpha)
+    slope = x.T @ (y - weights[0] - x @ weights[1:]) / len(y)
+    assert np.abs(slope[weights[1:] == 0]).max(initial=0) <= alpha + 1e-9
+    assert slope[weights[1:] != 0] == pytest.approx(alpha * np.sign(weights[1:][weights[1:] != 0]))
+    assert (y - weights[0] - x @ weights[1:]).sum() == pytest.approx(0, abs=1e-6)
+
+
+@pytest.mark.parametrize("lasso", [False, True])
+def test_grid_by_folds(gaps, sums, lasso):
+    x, y, fold = plain_inputs(gaps, ["size", "flag"], "kind")
+    alphas = (0.1, 1.0, 20.0)
+    want = []
+    for alpha in alphas:
+        scores = []
+        for k in range(5):
+            w = (linear.lasso_weights if lasso else linear.ridge_weights)(sums.without(k), alpha)
+            out = y[fold == k] - w[0] - x[fold == k] @ w[1:]
+            scores.append(1 - (out**2).sum() / ((y[fold == k] - y[fold == k].mean()) ** 2).sum())
+        want.append(np.mean(scores))
+    assert linear.grid_r2(sums, alphas, lasso) == pytest.approx(want, rel=1e-6)
+    weights, alpha = linear.chosen(sums, lasso, alphas)
+    assert alpha == alphas[int(np.argmax(want))]
+
+
+def test_constant_and_repeated_inputs(spark):
+    df = spark.createDataFrame([(float(i), 1.0, 2.0 * i, "a", 3.0 * i + 1) for i in range(9)] + [(5.0, 1.0, 10.0, "a", None)], "x double, c double, twice double, k string, y double")
+    inputs = linear.scaled_inputs(df, ["x", "c", "twice"], ["k"])
+    made = linear.products(df, inputs, "y")
+    assert list(inputs) == ["x", "c", "twice"] and made.total[0, 0] == 9
+    got = df.filter("y is not null").select("y", linear.predicted(inputs, linear.ridge_weights(made.total)).alias("p")).collect()
+    assert all(r.p == pytest.approx(r.y) for r in got)
+    assert np.isfinite(linear.lasso_weights(made.total, 0.1)).all()
 
 
 def test_regression_quality_and_log(spark, prices):
