@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "ferrolith", cores: str | int = "*", partitions: int = 8,
@@ -67,10 +69,31 @@ def settle(df: DataFrame, label: str = "settled") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers that may be broadcast (some tens of MB).
+BROADCAST_ROWS = 1_000_000
+
+
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it is counted to hold at most ``rows`` rows, else unchanged."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def settled() -> list[str]:
+    """Folders that ``settle`` has written in this process and nothing has deleted yet."""
+    return list(_SETTLED)
+
+
+def remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete folders of ``settle`` after their last reader."""
+    for name in paths:
+        if name in _SETTLED:
+            _SETTLED.remove(name)
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clean_up(spark: SparkSession) -> int:
     """Delete every folder ``settle`` wrote in this process; call it when no result is read any more."""
     n = len(_SETTLED)
-    while _SETTLED:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_SETTLED.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, settled())
     return n
