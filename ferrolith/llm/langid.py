@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Letters are dealt to this many symbols (0 is the gap between words); a trigram is three symbols.
 SYMBOLS = 128
@@ -154,8 +155,7 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "text
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())],
                                              names=[*batch.schema.names, "lang_pred", "score"])
 
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(predict, f"{kinds}, lang_pred string, score double")
+    return docs.mapInArrow(predict, T.StructType([*docs.schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
 def score_floors(scored: DataFrame, lang: str = "lang") -> dict[str, float]:

@@ -235,7 +235,9 @@ def jaccard_groups_brute(texts):
     return {i: (len(s), find(i)) for i, s in sets.items()}
 
 
-def test_jaccard(spark, odd, none, folder):
+@pytest.mark.parametrize("held", [jaccard.GROUP_ITEMS, 0])
+def test_jaccard(spark, odd, none, monkeypatch, held):
+    monkeypatch.setattr(jaccard, "GROUP_ITEMS", held)
     rng = np.random.default_rng(5)
     words = [f"w{i}" for i in range(400)]
     passage = " ".join(rng.choice(words, 60))
@@ -256,6 +258,43 @@ def test_jaccard(spark, odd, none, folder):
     assert jaccard.jaccard_groups(none).count() == 0
 
 
+@pytest.mark.parametrize("held", [jaccard.GROUP_ITEMS, 0])
+def test_jaccard_of_one_id_with_several_texts(spark, monkeypatch, held):
+    monkeypatch.setattr(jaccard, "GROUP_ITEMS", held)
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(1, a), (1, ""), (2, a), (3, b), (2, b), (4, ""), (5, None), (6, a + " end")]
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 36, 1), (1, 0, 1), (2, 36, 1), (3, 36, 1), (4, 0, 4), (5, 0, 5), (6, 37, 1)}
+
+
+def test_far_texts_with_one_passage(spark):
+    """Two thousand texts that share a passage and nothing else: no node of the plan lists their pairs."""
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(i, " ".join(f"w{i}x{k}" for k in range(8)) + " " + passage) for i in range(2000)] + [(5000, f"w7x0 w7x1 w7x2 w7x3 w7x4 w7x5 w7x6 w7x7 {passage} end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = {r.doc_id: r.component_id for r in jaccard.jaccard_groups(docs).collect()}
+    assert got == jaccard_components(rows)
+
+
+def jaccard_components(rows):
+    """Components by links of any two texts that share a shingle the others lack."""
+    sets = {i: {tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    common = set.intersection(*sets.values())
+    holders = defaultdict(set)
+    for i, s in sets.items():
+        for x in s - common:
+            holders[x].add(i)
+    home = {i: i for i in sets}
+    for held in holders.values():
+        for i in held:
+            for j in held:
+                if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                    home[i] = home[j] = min(home[i], home[j])
+    linked = [i for i in sets if 100 * len(common) >= 80 * (2 * len(sets[i]) - len(common))]
+    assert len(linked) <= 1  # else the passage alone would link texts
+    return home
+
+
 def test_bpe(spark, odd, none):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     for r in bpe.encode_decode(odd, WORD_BPE).join(odd.dropDuplicates(["doc_id"]).select("doc_id", "text"), "doc_id").collect():
