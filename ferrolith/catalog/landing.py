@@ -181,8 +181,8 @@ decided AS (SELECT r.*, regexp_replace(upper(plate_number), '[^A-Z0-9]', '', 'g'
 """
 
 
-def residents(spark, folder):
-    return table(spark, folder, "customer").select(
+def residents(customers):
+    return customers.select(
         F.concat(F.lit("AB"), F.lpad(F.col("c_custkey").cast("string"), 9, "0"), F.lit("CD")).alias("plaque"),
         F.col("c_mktsegment").alias("marque"), F.col("c_name").alias("nom"),
         F.when(F.col("c_acctbal") > 3000, "oui").otherwise("non").alias("acces"),
@@ -201,7 +201,7 @@ def as_reads(events):
 
 
 def decided(spark, folder):
-    return access.decide(as_reads(table(spark, folder, "events")), residents(spark, folder))
+    return access.decide(as_reads(table(spark, folder, "events")), residents(table(spark, folder, "customer")))
 
 
 @query("plate_normalize", r"""
@@ -250,7 +250,7 @@ SELECT count(*) AS total, count(*) FILTER (WHERE acces = 'oui') AS active, count
        count(*) FILTER (WHERE abonnement = 'oui') AS subscribers FROM residents
 """)
 def resident_kpis(spark, folder):
-    return access.resident_indicators(residents(spark, folder))
+    return access.resident_indicators(residents(table(spark, folder, "customer")))
 
 
 @query("resident_snapshot", f"""
@@ -260,7 +260,7 @@ FROM base WHERE k % 5 <> 0
 UNION ALL SELECT 'ZZ' || CAST(n_nationkey AS VARCHAR), n_name, 'new', 'oui', 'non' FROM nation
 """)
 def resident_snapshot(spark, folder):
-    base = residents(spark, folder)
+    base = residents(table(spark, folder, "customer"))
     number = F.substring("plaque", 3, 9).cast("bigint")
     old = base.withColumn("op", F.when(number % 5 == 0, "delete").when(number % 5 == 1, "toggle").otherwise("add"))
     new = table(spark, folder, "nation").select(
@@ -274,7 +274,7 @@ def resident_snapshot(spark, folder):
 WITH {RESIDENTS_SQL} SELECT plaque, nom, acces FROM residents WHERE contains(lower(plaque), 'b00000001') OR contains(lower(nom), '0777')
 """)
 def resident_search(spark, folder):
-    rows = residents(spark, folder)
+    rows = residents(table(spark, folder, "customer"))
     hit = text.matches_search([F.col("plaque")], "B00000001") | text.matches_search([F.col("nom")], "0777")
     return rows.filter(hit).select("plaque", "nom", "acces")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferrolith.functions import text
+from ferrolith.operators.ordering import previous_row
 from ferrolith.operators.selection import first_row
 
 AUTHORISED, REFUSED = "AUTHORISED", "REFUSED"
@@ -102,3 +103,15 @@ def one_read_per_passage(reads: DataFrame, key: str, moment: str, row_id: str, m
     """First read of each plate per time slot (batch form of duplicate suppression)."""
     slot = F.floor(F.unix_micros(F.col(moment).cast("timestamp")) / (minutes * 60_000_000))
     return first_row(reads.withColumn("_slot", slot), [key, "_slot"], [moment, row_id]).drop("_slot")
+
+
+def passages(reads: DataFrame, key: str, moment: str, row_id: str, minutes: int = 5) -> DataFrame:
+    """The first read of each passage: no other of the plate lies within ``minutes`` before it.
+
+    Batch form of the session stream; a plate's reads are cut into hours, so a
+    frequent one does not fill a task.
+    """
+    timed = reads.withColumn("_at", F.col(moment).cast("timestamp"))
+    linked = previous_row(timed, key, "_at", row_id, [])
+    apart = F.unix_micros("_at") - F.unix_micros("prev__at") > minutes * 60_000_000
+    return linked.filter(F.col("prev__at").isNull() | apart).drop("_at", "prev__at")

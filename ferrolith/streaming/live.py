@@ -6,9 +6,16 @@ Event times without a zone are cast to timestamps, as watermarks need one.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.state import GroupState
 
+from ferrolith.functions import text
 from ferrolith.operators.joins import with_problem_flag
 from ferrolith.plans import access
 from ferrolith.session import new_folder
@@ -19,7 +26,7 @@ def timed(stream: DataFrame, moment: str, delay: str = "10 minutes") -> DataFram
 
 
 def access_decisions(reads: DataFrame, residents: DataFrame) -> DataFrame:
-    """Decide each read against the registry as it is when the batch runs."""
+    """Decide each read against a registry table as it was when the stream began (see ``live_decisions`` for one that changes)."""
     return access.audit_log(access.decide(reads, residents))
 
 
@@ -37,12 +44,93 @@ def hourly_counts(events: DataFrame, moment: str, by: str, value: str, delay: st
         F.col("window.start").cast("timestamp_ntz").alias("hour_start"), by, "n", "total")
 
 
-def late_alerts(rentals: DataFrame, known: DataFrame, row_id: str, previous_id: str, delay: str, gap: str) -> DataFrame:
-    """Arriving rentals whose previous rental is later than the gap allows."""
-    previous = known.select(F.col(row_id).alias(previous_id), F.col(delay).alias("prev_delay"))
-    followers = rentals.filter(F.col(previous_id).isNotNull() & F.col(gap).isNotNull())
-    joined = followers.join(previous, previous_id, "left")
-    return with_problem_flag(joined, F.col("prev_delay"), F.col(gap)).filter("is_problem")
+def passages(reads: DataFrame, key: str, moment: str, minutes: int = 5, delay: str = "10 minutes") -> DataFrame:
+    """(``key``, first_seen, last_seen, reads): one row per passage, emitted once the watermark has passed its end.
+
+    Reads of a plate belong together while the next one follows within
+    ``minutes``; a late read that lies between two passages makes them one.
+    """
+    sessions = timed(reads, moment, delay).groupBy(key, F.session_window(moment, f"{minutes} minutes"))
+    return sessions.agg(F.min(moment).alias("first_seen"), F.max(moment).alias("last_seen"), F.count("*").alias("reads")).select(
+        key, "first_seen", "last_seen", "reads")
+
+
+#: Copies of a plate's registry state, so that one plate's reads spread over tasks.
+SHARES = 8
+_ENTRY = "at array<long>, there array<boolean>, acces array<string>, marque array<string>, nom array<string>"
+
+
+def live_decisions(reads: DataFrame, changes: DataFrame, read_id: str, moment: str = "timestamp", plate: str = "plate_number",
+                   confidence: str = "detection_confidence", least: float = 0.5, keep: str = "1 day") -> DataFrame:
+    """(``read_id``, plaque, timestamp, resultat, normalized_plate, resident_name) of confident reads, as both streams go on.
+
+    ``changes`` has op (add, delete, toggle), plaque, marque, nom, acces,
+    ``moment`` and seq, which orders changes of one moment. A read is decided by
+    the changes up to its moment that have arrived with it or before; a change of
+    the same moment counts. An add for a plate that is there is rejected, a
+    toggle for one that is not does nothing. The state of a plate holds its
+    entries of the last ``keep`` before its newest row and the one before them,
+    so late reads find what held at their time and the state does not grow.
+    """
+    length = reads.sparkSession.sql(f"SELECT CAST(INTERVAL '{keep}' AS INTERVAL DAY TO SECOND) AS d").first()["d"]
+    span = int(length.total_seconds() * 1e6)
+    confident = reads.filter((F.col(confidence) >= least) & (F.trim(plate) != ""))
+    mine = confident.select(
+        text.plate_key(F.col(plate)).alias("normalized_plate"), F.pmod(F.xxhash64(read_id), F.lit(SHARES)).cast("int").alias("share"),
+        F.unix_micros(F.col(moment).cast("timestamp")).alias("at"), F.col(read_id).cast("long").alias("seq"), F.lit(None).cast("string").alias("op"),
+        F.col(plate).alias("plaque"), *[F.lit(None).cast("string").alias(c) for c in ("acces", "marque", "nom")])
+    theirs = changes.select(
+        text.plate_key(F.col("plaque")).alias("normalized_plate"), F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))).alias("share"),
+        F.unix_micros(F.col(moment).cast("timestamp")).alias("at"), F.col("seq").cast("long").alias("seq"), "op", "plaque", "acces", "marque", "nom")
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(frames)).sort_values(["at", "seq"], kind="stable")
+        entries = list(zip(*state.get, strict=True)) if state.exists else []
+        for row in rows[rows["op"].notna()].itertuples():
+            place = bisect_right([e[0] for e in entries], row.at)
+            there, *values = entries[place - 1][1:] if place else (False, None, None, None)
+            if row.op == "add" and not there:
+                new = (True, row.acces, row.marque, row.nom)
+            elif row.op == "delete":
+                new = (False, None, None, None)
+            elif row.op == "toggle" and there:
+                new = (True, "non" if values[0] == "oui" else "oui", *values[1:])
+            else:
+                continue
+            entries.insert(place, (int(row.at), *new))
+        held = rows[rows["op"].isna()]
+        if len(held):
+            place = np.searchsorted(np.array([e[0] for e in entries], np.int64), held["at"].to_numpy(np.int64), side="right")
+            found = [entries[k - 1] if k else (0, False, None, None, None) for k in place]
+            yield pd.DataFrame({
+                read_id: held["seq"], "plaque": held["plaque"], "at": held["at"], "resultat": [
+                    access.AUTHORISED if e[1] and e[2] == "oui" else access.REFUSED for e in found],
+                "normalized_plate": key[0], "resident_name": [e[4] if e[1] else None for e in found]})
+        newest = max(int(rows["at"].max()), entries[-1][0] if entries else 0)
+        old = max(bisect_right([e[0] for e in entries], newest - span) - 1, 0)
+        if entries:
+            state.update(tuple(map(list, zip(*entries[old:], strict=True))))
+
+    decided = mine.unionByName(theirs).groupBy("normalized_plate", "share").applyInPandasWithState(
+        step, f"{read_id} long, plaque string, at long, resultat string, normalized_plate string, resident_name string", _ENTRY, "append", "NoTimeout")
+    return decided.select(read_id, "plaque", F.timestamp_micros("at").cast("timestamp_ntz").alias("timestamp"), "resultat", "normalized_plate", "resident_name")
+
+
+def late_alerts(rentals: DataFrame, previous: DataFrame, row_id: str, previous_id: str, delay: str, gap: str, moment: str,
+                within: str = "31 days", lateness: str = "10 minutes") -> DataFrame:
+    """Each rental with a previous one, whether that was later than the gap allows (``is_problem``), and its delay.
+
+    Both sides are streams, so a previous rental may arrive first or last. Its
+    ``moment`` must lie ``within`` that time of the rental's; both sides have a
+    watermark, so rows leave the state when their time is over, and a rental
+    whose previous one never came is returned then without a delay.
+    """
+    followers = timed(rentals.filter(F.col(previous_id).isNotNull() & F.col(gap).isNotNull()), moment, lateness)
+    ended = timed(previous.select(F.col(row_id).alias("_ended"), F.col(delay).alias("prev_delay"), F.col(moment).alias("_ended_at")), "_ended_at", lateness)
+    span = F.expr(f"INTERVAL {within}")
+    joined = followers.join(ended, (F.col(previous_id) == F.col("_ended")) & (F.col("_ended_at") >= F.col(moment) - span) & (
+        F.col("_ended_at") <= F.col(moment) + span), "leftOuter")
+    return with_problem_flag(joined, F.col("prev_delay"), F.col(gap)).drop("_ended", "_ended_at")
 
 
 def run_to_folder(stream: DataFrame, label: str, folder: str | None = None, checkpoint: str | None = None) -> DataFrame:
