@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferrolith.llm.encoder import piece_encoder
+from ferrolith.llm.encoder import TEXTS, piece_encoder
 from ferrolith.session import settle
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
@@ -29,8 +29,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, do
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = piece_encoder(tokenizer), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for i in range(0, batch.num_rows, 128):
-                part = batch.slice(i, 128)
+            for i in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(i, TEXTS)
                 rows = []
                 encoded = encoder.encode_all([t or "" for t in part.column(1).to_pylist()])
                 for number, raw in zip(part.column(0).to_pylist(), encoded, strict=True):

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ferrolith.llm.encoder import piece_encoder
+from ferrolith.llm.encoder import TEXTS, piece_encoder
 
 MAGIC = b"PFR1"
 BLOCK = 128
@@ -172,8 +172,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id
             ], names=["shard", "segment", "first", "n_docs", "n_ids", "payload"])
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 128):
-                part = batch.slice(i, 128)
+            for i in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(i, TEXTS)
                 encoded = encoder.encode_all([t or "" for t in part.column(1).to_pylist()])
                 for number, ids in zip(part.column(0).to_pylist(), encoded, strict=True):
                     numbers.append(number)
