@@ -15,10 +15,10 @@ SPACE = " \t\n\x0b\x0c\r\x85\xa0  -     　"
 TWO_SPACES = re.compile(f"[{SPACE}][{SPACE}]|^[{SPACE}]|[{SPACE}]$")
 CHUNKS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: Pieces kept per Python worker; when full the store starts anew, results stay the same.
-KEPT_PIECES = 1_000_000
+KEPT_PIECES = 700_000
 #: Texts that are handed over, and bytes of text that are cut, at once.
 TEXTS = 1024
-BLOCK_BYTES = 1 << 22
+BLOCK_BYTES = 1 << 21
 #: Kinds of bytes: gaps, letters, digits, other ASCII signs; a word with any other byte, or with an apostrophe, stays whole.
 GAP, LETTER, DIGIT, SIGN, ODD = range(5)
 KIND = np.full(256, ODD, np.int8)
