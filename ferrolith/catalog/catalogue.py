@@ -120,7 +120,7 @@ SELECT count(price_eur) AS count, round(avg(price_eur), 6) AS mean, round(stddev
        min(price_eur) AS min, max(price_eur) AS max FROM games WHERE NOT is_free
 """)
 def describe_price(spark, folder):
-    return catalogue.price_summary(games(spark, folder)).withColumns(
+    return catalogue.REPORTS["paid_prices"].run(games(spark, folder)).withColumns(
         {c: F.round(c, 6) for c in ("mean", "stddev")})
 
 
@@ -141,7 +141,7 @@ SELECT count(*) AS total_jeux, count(*) FILTER (WHERE discount_pct > 0) AS avec_
        count(*) FILTER (WHERE is_free) AS gratuits FROM games
 """)
 def discount_counts(spark, folder):
-    return catalogue.discount_summary(games(spark, folder))
+    return catalogue.REPORTS["discounts"].run(games(spark, folder))
 
 
 @query("explode_tokens", f"""
@@ -165,7 +165,7 @@ def age_groups(spark, folder):
 
 @query("distinct_per_token", f"WITH {GAMES_SQL} SELECT genre, count(DISTINCT app_id) AS nb_jeux FROM genres GROUP BY 1")
 def distinct_per_token(spark, folder):
-    return catalogue.genre_counts(genres(spark, folder))
+    return catalogue.REPORTS["genres"].run(genres(spark, folder))
 
 
 @query("having_avg_mix", f"""
@@ -175,7 +175,7 @@ SELECT genre, round(avg(round(ratio, 2)), 2) AS avg_positive_ratio, count(DISTIN
 FROM genres WHERE total_ratings >= 5 GROUP BY 1 HAVING count(DISTINCT app_id) >= 20
 """)
 def having_avg_mix(spark, folder):
-    return catalogue.genre_ratings(genres(spark, folder), min_ratings=5)
+    return catalogue.REPORTS["genre_ratings"].with_settings(ratings=5).run(genres(spark, folder))
 
 
 @query("top_n_semi_join", f"""
@@ -196,7 +196,7 @@ SELECT genre, round(avg(price_eur), 2) AS prix_moyen_eur, count(DISTINCT app_id)
 FROM genres WHERE NOT is_free AND price_eur > 0 GROUP BY 1 HAVING count(DISTINCT app_id) >= 10
 """)
 def lucrative_groups(spark, folder):
-    return catalogue.lucrative_genres(genres(spark, folder))
+    return catalogue.REPORTS["genre_revenue"].run(genres(spark, folder))
 
 
 @query("platform_counts", f"""
@@ -206,7 +206,7 @@ SELECT count(*) FILTER (WHERE on_windows) AS windows, count(*) FILTER (WHERE on_
        count(*) FILTER (WHERE on_windows AND on_mac AND on_linux) AS all_platforms, count(*) AS total_jeux FROM games
 """)
 def platform_counts(spark, folder):
-    return catalogue.platforms(games(spark, folder))
+    return catalogue.REPORTS["platforms"].run(games(spark, folder))
 
 
 @query("availability_rate", f"""
@@ -240,7 +240,7 @@ SELECT count(*) AS total_jeux, count(DISTINCT publisher) AS nb_publishers, round
        count(*) FILTER (WHERE on_linux) AS nb_jeux_linux FROM games
 """)
 def kpi_row(spark, folder):
-    return catalogue.indicators(games(spark, folder))
+    return catalogue.REPORTS["indicators"].run(games(spark, folder))
 
 
 @query("two_key_count", """

@@ -12,6 +12,7 @@ from ferrolith.catalog.registry import query
 from ferrolith.functions import dates, numbers, text
 from ferrolith.models import boosting, classification, features, grouping, linear, regression
 from ferrolith.operators import evaluate, prepare, selection, words
+from ferrolith.operators.dbscan_sweep import sparse_vectors
 from ferrolith.operators.ordering import random_rank
 from ferrolith.session import new_folder, settle
 from ferrolith.sources.tables import table
@@ -185,7 +186,8 @@ def model_run_log(spark, folder):
     linear = regression.evaluated("linear", regression.ordinary(train, "price"), train, test, "price")
     boosted = regression.evaluated("boosting", regression.boosting(train, "price"), train, test, "price")
     compared = evaluate.compare_models(linear.unionByName(boosted), "model", "test_r2")
-    return regression.run_log(compared.drop("is_best"), "pricing", {"boosting": regression.BOOSTING, "linear": {}})
+    entries = regression.run_log(compared.drop("is_best"), "pricing", {"boosting": regression.BOOSTING, "linear": {}})
+    return regression.append_log(entries, new_folder(spark, "run-log"))
 
 
 def visits(spark, folder):
@@ -292,37 +294,44 @@ def messages(spark, folder):
     return settle(prepare.holdout(rows, "doc_id", by=["label"]))
 
 
-@query("logit_tfidf")
-def logit_tfidf(spark, folder):
-    rows = messages(spark, folder)
+def by_terms(rows):
+    """Hold-out rows with the decision of the logistic model on term weights."""
     train = rows.filter(~F.col("is_test"))
     weights = settle(words.tfidf(rows, "doc_id", F.col("tokens"), max_features=5000, fit_on=train))
-    slots = prepare.label_codes([weights], "term")
-    width = weights.select(F.count_distinct("term")).first()[0]
-    cells = weights.join(F.broadcast(slots), "term").groupBy("doc_id").agg(  # at most max_features terms
-        F.array_sort(F.collect_list(F.struct("code", "weight"))).alias("cells"))
-    sparse = _sparse_vector(cells, width).join(rows.select("doc_id", "label", "is_test"), "doc_id")
-    model = classification.text_logit(sparse.filter(~F.col("is_test")), "label")
-    predicted = model.transform(sparse.filter("is_test"))
-    return evaluate.class_report(predicted.withColumn("p", F.col("prediction").cast("int")), "label", "p")
+    vectors, _ = sparse_vectors(weights, "doc_id")
+    known = vectors.join(rows.select("doc_id", "label", "is_test"), "doc_id")
+    model = classification.text_logit(known.filter(~F.col("is_test")), "label")
+    return model.transform(known.filter("is_test")).select("doc_id", "label", F.col("prediction").cast("int").alias("p"))
+
 
+def by_word_vectors(rows):
+    """Hold-out rows with the decision of the small net on word vectors."""
+    train = rows.filter(~F.col("is_test"))
+    vectors = Word2Vec(vectorSize=32, minCount=1, inputCol="tokens", outputCol="features", maxIter=15, seed=42).fit(train)
+    model = classification.small_network(vectors.transform(train), "label", [32, 24, 2])
+    return model.transform(vectors.transform(rows.filter("is_test"))).select("doc_id", "label", F.col("prediction").cast("int").alias("p"))
 
-def _sparse_vector(cells, width):
-    """Vector column from sorted (code, weight) cells, built in Arrow-free native form."""
-    from pyspark.ml.linalg import SparseVector, VectorUDT
 
-    build = F.udf(lambda codes, values: SparseVector(width, codes, values), VectorUDT())
-    return cells.select("doc_id", build("cells.code", "cells.weight").alias("features"))
+@query("logit_tfidf")
+def logit_tfidf(spark, folder):
+    return evaluate.class_report(by_terms(messages(spark, folder)), "label", "p")
 
 
 @query("mlp_wordvec")
 def mlp_wordvec(spark, folder):
+    return evaluate.binary_metrics(by_word_vectors(messages(spark, folder)), "label", "p").withColumn("model", F.lit("word vectors"))
+
+
+@query("message_study")
+def message_study(spark, folder):
+    """Fitted message models side by side on the same hold-out rows, the best marked, with the first wrong rows of each."""
     rows = messages(spark, folder)
-    train = rows.filter(~F.col("is_test"))
-    vectors = Word2Vec(vectorSize=32, minCount=1, inputCol="tokens", outputCol="features", maxIter=15, seed=42).fit(train)
-    model = classification.small_network(vectors.transform(train), "label", [32, 24, 2])
-    predicted = model.transform(vectors.transform(rows.filter("is_test"))).withColumn("p", F.col("prediction").cast("int"))
-    return evaluate.binary_metrics(predicted, "label", "p").withColumn("model", F.lit("word vectors"))
+    judged = settle(by_terms(rows).withColumn("model", F.lit("term weights")).unionByName(
+        by_word_vectors(rows).withColumn("model", F.lit("word vectors"))))
+    metrics = evaluate.compare_models(settle(evaluate.binary_metrics(judged, "label", "p", ["model"])), "model", "f1")
+    wrong = selection.first_per_group(judged.filter("label != p"), ["model"], ["doc_id"], 5).groupBy("model").agg(
+        F.sort_array(F.collect_list("doc_id")).alias("first_errors"))
+    return metrics.join(wrong, "model", "left")
 
 
 @query("mlp_embeddings")

@@ -17,13 +17,20 @@ from pyspark.sql import functions as F
 RANGE = "_range"
 
 
-def with_ranges(df: DataFrame, order: str, ranges: int = 64) -> DataFrame:
+def range_count(df: DataFrame) -> int:
+    """Ranges an order is cut into: a few for each shuffle partition of the session, 64 at least and 4096 at most."""
+    return min(4096, max(64, 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def with_ranges(df: DataFrame, order: str, ranges: int | None = None) -> DataFrame:
     """Add ``_range``: the index of the value range ``order`` falls into.
 
     The limits are quantiles of the column (numbers) or a hash sample of its
     distinct values (anything else), so the ranges hold similar row counts.
-    They form one array of at most ``ranges`` values.
+    They form one array of at most ``ranges`` values (default: by the session,
+    so that a larger cluster gets smaller ranges).
     """
+    ranges = ranges or range_count(df)
     kind = dict(df.dtypes)[order]
     numeric = kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal")
     if numeric:
@@ -50,7 +57,7 @@ def with_ranges(df: DataFrame, order: str, ranges: int = 64) -> DataFrame:
 
 
 def running_totals(df: DataFrame, order: str, sums: Sequence[str], by: Sequence[str] = (),
-                   ranges: int = 64) -> DataFrame:
+                   ranges: int | None = None) -> DataFrame:
     """Add ``cum_<c>``: inclusive running totals in ascending ``order`` within ``by``.
 
     ``df`` must hold one row per (``by``, ``order``): aggregate ties first.
@@ -71,7 +78,7 @@ def running_totals(df: DataFrame, order: str, sums: Sequence[str], by: Sequence[
     )
 
 
-def sequential_ids(df: DataFrame, order: str, name: str, ranges: int = 64) -> DataFrame:
+def sequential_ids(df: DataFrame, order: str, name: str, ranges: int | None = None) -> DataFrame:
     """Number the rows 1, 2, 3 … by a unique column, without a one-task sort."""
     numbered = running_totals(df.withColumn("_one", F.lit(1).cast("bigint")), order, ["_one"], ranges=ranges)
     return numbered.withColumnRenamed("cum__one", name).drop("_one")
@@ -107,7 +114,7 @@ def random_rank(df: DataFrame, row_id: str, seed: int, by: Sequence[str] = (),
 
 
 def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float],
-                    by: Sequence[str] = (), ranges: int = 64) -> DataFrame:
+                    by: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
     """Exact linearly interpolated quantiles per group as columns ``q_<percent>``.
 
     Works on value counts and running totals, so no task holds a whole group.
@@ -146,21 +153,23 @@ def exact_median(df: DataFrame, value: str, by: Sequence[str] = (), name: str =
 
 
 def previous_row(df: DataFrame, entity: str, moment: str, row_id: str, carry: Sequence[str],
-                 slice_of: str = "HOUR") -> DataFrame:
+                 ranges: int | None = None) -> DataFrame:
     """Add ``prev_<c>`` from the entity's previous row in (``moment``, ``row_id``) order.
 
-    Each entity is cut into calendar slices. Inside a slice this is a plain
-    ``lag``; the first row of a slice takes the last row of the entity's
-    preceding slice from a table with one row per (entity, slice).
+    Time is cut into ranges that hold about as many rows each, however the rows
+    lie in it. Inside a range this is a plain ``lag``; the first row of an entity
+    in a range takes its last row of the ranges before, from a table with one
+    row per (entity, range).
     """
-    keys = [entity, "_slice"]
-    sliced = df.withColumn("_slice", F.date_trunc(slice_of, F.col(moment))).repartition(*keys)
+    keys = [entity, RANGE]
+    timed = with_ranges(df.withColumn("_micros", F.unix_micros(F.col(moment).cast("timestamp"))), "_micros", ranges)
+    sliced = timed.drop("_micros").repartition(*keys)
     fields = [moment, *[c for c in carry if c != moment]]
     record = F.struct(*fields)
     inside = W.partitionBy(*keys).orderBy(moment, row_id)
     local = sliced.withColumn("_prev", F.lag(record).over(inside))
     lasts = sliced.groupBy(*keys).agg(F.max_by(record, F.struct(moment, row_id)).alias("_last"))
-    across = W.partitionBy(entity).orderBy("_slice")
+    across = W.partitionBy(entity).orderBy(RANGE)
     carried = lasts.select(*keys, F.lag("_last").over(across).alias("_carried"))
     joined = local.join(carried, keys, "left").withColumn("_prev", F.coalesce("_prev", "_carried"))
     return joined.select(*df.columns, *[F.col(f"_prev.{c}").alias(f"prev_{c}") for c in fields])

@@ -13,17 +13,25 @@ AUTHORISED, REFUSED = "AUTHORISED", "REFUSED"
 OPEN_STATUS = "open"
 
 
+def one_per_plate(residents: DataFrame, key: str = "plaque") -> DataFrame:
+    """One row per normalised plate: of several spellings the smallest text. A null plate is no plate."""
+    row = F.struct(key, *[c for c in residents.columns if c != key])
+    return residents.filter(F.col(key).isNotNull()).groupBy(text.plate_key(F.col(key)).alias("_plate")).agg(F.min(row).alias("_row")).select(
+        *[F.col("_row").getField(c).alias(c) for c in residents.columns])
+
+
 def decide(reads: DataFrame, residents: DataFrame, plate: str = "plate_number",
            confidence: str = "detection_confidence", least: float = 0.5) -> DataFrame:
     """Normalise the plates of confident reads and look them up.
 
     A plate is let in when a resident has it and their access is ``oui``.
-    Residents are keyed by a unique plate, so no read is multiplied; the
-    planner broadcasts the registry only while it is small.
+    Plates that differ in spelling only are one resident, the one with the
+    smallest plate text, so no read is multiplied; the planner broadcasts the
+    registry only while it is small.
     """
     confident = reads.filter((F.col(confidence) >= least) & (F.trim(plate) != ""))
     keyed = confident.withColumn("normalized_plate", text.plate_key(F.col(plate)))
-    known = residents.select(
+    known = one_per_plate(residents).select(
         text.plate_key(F.col("plaque")).alias("normalized_plate"), F.col("marque").alias("expected_brand"),
         F.col("nom").alias("resident_name"), "acces")
     joined = keyed.join(known, "normalized_plate", "left")
@@ -65,7 +73,7 @@ def apply_changes(residents: DataFrame, changes: DataFrame, key: str = "plaque",
     """Next registry snapshot from the current one and a batch of changes.
 
     ``changes`` has the registry columns plus ``op`` (add, delete, toggle)
-    and an ascending ``order``. Per plate the last add or delete decides
+    and an ascending ``order``. Spellings of one plate are one plate. Per plate the last add or delete decides
     whether and with which values it exists; toggles after it flip the
     access. An add for a plate that exists at that moment is rejected, as
     the plate is unique. Everything is a grouped minimum, maximum or count,
@@ -73,22 +81,23 @@ def apply_changes(residents: DataFrame, changes: DataFrame, key: str = "plaque",
     """
     columns = residents.columns
     start = F.lit(-(2**62))
-    current = residents.select(*columns, F.lit("add").alias("op"), start.alias("_seq"))
-    steps = current.unionByName(changes.select(*columns, "op", F.col(order).cast("long").alias("_seq")))
-    deleted = steps.filter("op = 'delete'").groupBy(key).agg(F.max("_seq").alias("_gone"))
-    alive = steps.join(deleted, key, "left").filter(F.col("_gone").isNull() | (F.col("_seq") > F.col("_gone")))
-    born = alive.filter("op = 'add'").groupBy(key).agg(
-        F.min("_seq").alias("_born"), F.min_by(F.struct(*columns), "_seq").alias("_row"))
+    current = one_per_plate(residents, key).select(*columns, F.lit("add").alias("op"), start.alias("_seq"))
+    steps = current.unionByName(changes.select(*columns, "op", F.col(order).cast("long").alias("_seq"))).withColumn(
+        "_plate", text.plate_key(F.col(key)))
+    deleted = steps.filter("op = 'delete'").groupBy("_plate").agg(F.max("_seq").alias("_gone"))
+    alive = steps.join(deleted, "_plate", "left").filter(F.col("_gone").isNull() | (F.col("_seq") > F.col("_gone")))
+    born = alive.filter("op = 'add'").groupBy("_plate").agg(
+        F.min("_seq").alias("_born"), F.min_by(F.struct(*columns), F.struct("_seq", key)).alias("_row"))
     flips = (
-        alive.filter("op = 'toggle'").join(born.select(key, "_born"), key)
-        .filter(F.col("_seq") > F.col("_born")).groupBy(key).agg((F.count("*") % 2).alias("_odd"))
+        alive.filter("op = 'toggle'").join(born.select("_plate", "_born"), "_plate")
+        .filter(F.col("_seq") > F.col("_born")).groupBy("_plate").agg((F.count("*") % 2).alias("_odd"))
     )
-    state = born.join(flips, key, "left")
+    state = born.join(flips, "_plate", "left")
     access = F.col("_row.acces")
     flipped = F.when(access == "oui", "non").otherwise("oui")
-    values = {c: F.col(f"_row.{c}") for c in columns if c != key}
+    values = {c: F.col("_row").getField(c) for c in columns}
     values["acces"] = F.when(F.col("_odd") == 1, flipped).otherwise(access)
-    return state.select(*[F.col(key) if c == key else values[c].alias(c) for c in columns])
+    return state.select(*[values[c].alias(c) for c in columns])
 
 
 def correction_feed(inconsistencies: DataFrame) -> DataFrame:
@@ -108,8 +117,8 @@ def one_read_per_passage(reads: DataFrame, key: str, moment: str, row_id: str, m
 def passages(reads: DataFrame, key: str, moment: str, row_id: str, minutes: int = 5) -> DataFrame:
     """The first read of each passage: no other of the plate lies within ``minutes`` before it.
 
-    Batch form of the session stream; a plate's reads are cut into hours, so a
-    frequent one does not fill a task.
+    Batch form of the session stream; a frequent plate's reads are cut by time, so
+    that it does not fill a task.
     """
     timed = reads.withColumn("_at", F.col(moment).cast("timestamp"))
     linked = previous_row(timed, key, "_at", row_id, [])

@@ -1,11 +1,12 @@
 """Density clustering against brute force."""
 
+import math
 import random
 
 import pytest
 
 from ferrolith.operators.components import connected_components
-from ferrolith.operators.dbscan import dbscan
+from ferrolith.operators.dbscan import EARTH_KM, dbscan, dbscan_globe
 
 
 def brute_force(points, near, min_points):
@@ -69,3 +70,30 @@ def test_components_of_chain_and_hub(spark):
            connected_components(nodes, spark.createDataFrame(edges, "a int, b int")).collect()}
     expected = {i: 1 for i in range(1, 61)} | {i: 100 for i in range(100, 160)} | {200: 200, 201: 200, 300: 300}
     assert got == expected
+
+
+def kilometres(a, b):
+    """Great-circle distance by the haversine formula."""
+    (la, lo), (lb, mo) = ([math.radians(v) for v in p] for p in (a, b))
+    h = math.sin((lb - la) / 2) ** 2 + math.cos(la) * math.cos(lb) * math.sin((mo - lo) / 2) ** 2
+    return 2 * EARTH_KM * math.asin(min(1.0, math.sqrt(h)))
+
+
+@pytest.mark.parametrize("budget", [4096, 6])
+@pytest.mark.parametrize("eps,min_points", [(60.0, 4), (400.0, 6)])
+def test_globe(spark, eps, min_points, budget):
+    """Clusters across the date line, around both poles and over the equator, with copies and odd positions."""
+    rng = random.Random(5)
+    points = [(rng.gauss(10, 0.5), 180 + rng.gauss(0, 0.5)) for _ in range(30)]
+    points = [(a, b - 360 if b > 180 else b) for a, b in points]
+    points += [(90 - abs(rng.gauss(0, 0.4)), rng.uniform(-180, 180)) for _ in range(20)]
+    points += [(-90 + abs(rng.gauss(0, 0.4)), rng.uniform(-180, 540)) for _ in range(20)]
+    points += [(rng.gauss(0, 0.3), rng.gauss(20, 0.3)) for _ in range(30)] + [(rng.uniform(-80, 80), rng.uniform(-180, 180)) for _ in range(40)]
+    points += [(48.5, 2.3)] * 7 + [(48.5, 362.3)]
+    points = dict(enumerate(points))
+    df = spark.createDataFrame([*((i, a, b) for i, (a, b) in points.items()), (900, None, 1.0), (901, 91.0, 1.0), (902, float("nan"), 1.0)],
+                               "id int, lat double, lon double")
+    found = {r["id"]: (r["cluster"], r["kind"]) for r in dbscan_globe(df, "id", "lat", "lon", eps, min_points, budget).collect()}
+    want = brute_force(points, lambda a, b: kilometres(a, b) <= eps, min_points)
+    assert found == want | dict.fromkeys((900, 901, 902), (-1, "noise"))
+    assert len({c for c, _ in want.values()}) > 4

@@ -38,7 +38,7 @@ def test_catalogue_edges(spark, tmp_path):
     assert by_genre.count() == 6
     assert catalogue.genres(games, keep_without=True).count() == 7
     assert [r["language"] for r in catalogue.languages(games).collect()] == ["English", "French"]
-    assert catalogue.platforms(games).first()["all_platforms"] == 0
+    assert catalogue.REPORTS["platforms"].run(games).first()["all_platforms"] == 0
 
 
 def test_threshold_curves_monotone_and_brute_force(spark):
@@ -210,3 +210,16 @@ def test_stream_resumes_without_repeating(spark, residents, tmp_path):
     batch([("2", "ZZ", 0.9, None)])
     log = live.run_to_folder(read(), "t", out, state)
     assert sorted((r["timestamp"], r["resultat"]) for r in log.collect()) == [("1", "AUTHORISED"), ("2", "REFUSED")]
+
+
+def test_spellings_of_one_plate_are_one_resident(spark, residents):
+    schema = "timestamp string, plate_number string, detection_confidence double, brand string"
+    reads = spark.createDataFrame([("1", "ab-123 cd", 0.9, None)], schema)
+    more = residents.filter("plaque = 'AB-123-CD'").withColumn("plaque", F.lit("AB123CD")).withColumn("acces", F.lit("non"))
+    both = residents.unionByName(more)
+    decided = access.decide(reads, both).collect()
+    assert len(decided) == 1 and decided[0]["decision"] == access.AUTHORISED  # the smaller text is AB-123-CD
+    changes = residents.filter("plaque = 'AB-123-CD'").withColumn("plaque", F.lit("ab 123 cd")).withColumns({"op": F.lit("toggle"), "seq": F.lit(1).cast("long")})
+    rows = [r for r in access.apply_changes(both, changes).collect() if r["plaque"].replace("-", "") == "AB123CD"]
+    assert len(rows) == 1 and rows[0]["acces"] == "non"
+    assert access.one_per_plate(both.withColumn("plaque", F.lit(None).cast("string"))).count() == 0

@@ -5,7 +5,7 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from ferrolith.operators import aggregates, charts, evaluate, joins, ordering, prepare, selection, words
+from ferrolith.operators import aggregates, charts, evaluate, joins, ordering, prepare, reports, selection, words
 from ferrolith.functions import text
 
 
@@ -194,3 +194,25 @@ def test_best_column_and_availability(spark):
     twice = spark.createDataFrame([("g", 1, True), ("g", 1, True), ("g", 2, False)], "g string, id int, f boolean")
     row = aggregates.availability(twice, "g", "id", {"f": F.col("f")}).first()
     assert row["pct_f"] == 100.0 and row["pct_ids_f"] == 50.0
+
+
+def test_previous_row_when_all_rows_lie_in_one_hour(spark):
+    """Ranges follow the rows, so one busy hour is cut too."""
+    from datetime import datetime, timedelta
+
+    start = datetime(2024, 1, 1)
+    made = [(i, "e", start + timedelta(milliseconds=37 * i)) for i in range(3000)]
+    df = spark.createDataFrame(made, "id int, e string, t timestamp_ntz")
+    spread = ordering.with_ranges(df.withColumn("m", F.unix_micros(F.col("t").cast("timestamp"))), "m").groupBy(ordering.RANGE).count()
+    assert spread.count() > 30 and spread.agg(F.max("count")).first()[0] < 200
+    out = ordering.previous_row(df, "e", "t", "id", ["id"]).collect()
+    assert {r["id"]: r["prev_id"] for r in out} == {i: i - 1 if i else None for i in range(3000)}
+
+
+def test_reports(spark):
+    df = spark.createDataFrame([("a", 1, 2.0), ("a", 1, 4.0), ("a", 2, 9.0), ("b", 3, 1.0), (None, 4, 5.0)], "k string, i int, x double")
+    report = reports.Report(key="k", only="x > {low}", settings={"low": 0}, least=("n", 1), lead="mean", measures={
+        "n": reports.rows(), "ids": reports.distinct("i"), "mean": reports.measured(F.avg, "x", 1), "big": reports.holds("x >= 4")})
+    assert [tuple(r) for r in report.run(df).collect()] == [(None, 1, 1, 5.0, 1), ("a", 3, 2, 5.0, 2), ("b", 1, 1, 1.0, 0)]
+    assert [r["k"] for r in report.with_settings(low=1, least=2).run(df).collect()] == ["a"]
+    assert reports.Report(measures={"n": reports.rows()}).run(df).first()["n"] == 5
