@@ -11,6 +11,7 @@ import json
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Symbols from which on a word's merges are kept in a heap.
+LONG = 64
 #: Fragments and words kept per Python worker; when full the store starts anew, results stay the same.
 KEPT = 600_000
 
@@ -77,6 +80,8 @@ class ForcedBoundaryBpe:
 
     def merge(self, symbols: list[str]) -> list[str]:
         """Apply the merges, lowest rank first, leftmost first."""
+        if len(symbols) > LONG:
+            return self._merge_long(symbols)
         ranks, none = self.ranks, 1 << 60
         found = [ranks.get(p, none) for p in zip(symbols, symbols[1:], strict=False)]
         while found:
@@ -92,6 +97,31 @@ class ForcedBoundaryBpe:
                 found[i - 1] = ranks.get((symbols[i - 1], symbols[i]), none)
         return symbols
 
+    def _merge_long(self, symbols: list[str | None]) -> list[str]:
+        """The same with a heap of pairs over a linked list: a long word takes little more than its length."""
+        ranks, n = self.ranks, len(symbols)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(ranks[p], i, *p) for i, p in enumerate(zip(symbols, symbols[1:], strict=False)) if p in ranks]
+        heapify(heap)
+
+        def offer(i: int, j: int) -> None:
+            if (rank := ranks.get((symbols[i], symbols[j]))) is not None:
+                heappush(heap, (rank, i, symbols[i], symbols[j]))
+
+        while heap:
+            _, i, left, right = heappop(heap)
+            j = after[i]
+            if symbols[i] != left or j >= n or symbols[j] != right:
+                continue  # one of the two has been merged since
+            symbols[i], symbols[j] = left + right, None
+            after[i] = after[j]
+            if after[i] < n:
+                before[after[i]] = i
+                offer(i, after[i])
+            if before[i] >= 0:
+                offer(before[i], i)
+        return [s for s in symbols if s is not None]
+
     def _part(self, part: str, last: bool) -> bytes:
         key = part + self.suffix if last else part
         if (ids := self.known_parts.get(key)) is None:
