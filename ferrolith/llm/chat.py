@@ -76,24 +76,40 @@ def fingerprints(mappings: dict = MAPPINGS) -> dict[str, str]:
     return out
 
 
+def _text(value: object) -> str:
+    """A field as text: null is empty, anything but a string as JSON."""
+    return "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+
+
+def layout_of(record: object, known: dict[str, str], named: set[str], mappings: dict = MAPPINGS) -> str | None:
+    """The mapping whose paths the record holds. Only ``named`` paths count; an empty list of turns is one without turns."""
+    if not isinstance(record, dict):
+        return None
+    empty = [name for name, m in mappings.items() if m.get("turns") and record.get(m["turns"]) == []]
+    own = field_paths(record) & named
+    return empty[0] if empty and not own else known.get(fingerprint(own))
+
+
 def _turns(record: object, m: dict) -> list[tuple[str | None, str | None]]:
     if "parts" in m:
-        found = [(role, [record[f] for f in fields if record.get(f)]) for role, fields in m["parts"]]
-        return [(role, "\n\n".join(map(str, texts))) for role, texts in found if texts or role != "system"]
+        found = [(role, [t for f in fields if (t := _text(record.get(f)))]) for role, fields in m["parts"]]
+        return [(role, "\n\n".join(texts)) for role, texts in found if texts or role != "system"]
     rows = [record] if m["turns"] is None else record[m["turns"]]
-    return [(r.get(m["role"]), r.get(m["text"])) for r in rows]
+    return [(_text(r.get(m["role"])), _text(r.get(m["text"]))) for r in rows]
 
 
 def canonical_turns(records: DataFrame, record: str, conv_id: str, order: str | None = None, mappings: dict = MAPPINGS) -> DataFrame:
     """(conv_id, turn, role, text, layout): the turns of JSON records, one row each.
 
     ``turn`` is the place inside the record, after ``order`` where a record is a
-    single turn. Fields that no mapping names do not count for the fingerprint
-    when they are listed nowhere: the caller selects what goes into ``record``.
-    A null, unparsable or unknown record gives one row with null role, text and
-    layout; null role or text become empty; other role names are kept.
+    single turn. Fields that no mapping names do not count for the fingerprint,
+    and a record whose list of turns is empty has none. An unparsable or unknown
+    record gives one row with null role and layout and the record itself as text,
+    so nothing is lost; a null record one with null text. Null role or text become
+    empty, numbers and the like their JSON; other role names are kept.
     """
     known = fingerprints(mappings)
+    named = {p for m in mappings.values() for p in (*m["paths"], *m.get("optional", []))}
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -103,13 +119,12 @@ def canonical_turns(records: DataFrame, record: str, conv_id: str, order: str |
                     value = json.loads(raw) if raw is not None else None
                 except ValueError:
                     value = None
-                layout = known.get(fingerprint(field_paths(value))) if isinstance(value, dict) else None
+                layout = layout_of(value, known, named, mappings)
                 if layout is None:
-                    rows.append((number, place, None, None, None))
+                    rows.append((number, place, None, raw, None))
                     continue
                 for k, (role, text) in enumerate(_turns(value, mappings[layout])):
-                    role = str(role or "")
-                    rows.append((number, place + k if place is not None else None, ROLE_NAMES.get(role, role), str(text or ""), layout))
+                    rows.append((number, place + k if place is not None else None, ROLE_NAMES.get(role, role), text, layout))
             columns = zip(*rows, strict=True) if rows else [[]] * 5
             kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
