@@ -118,13 +118,57 @@ def test_chat(spark):
     got = {(r.conv_id, r.turn): (r.role, r.text, r.layout) for r in turns.collect()}
     assert got[1, 1] == ("assistant", "a [INST]", "messages") and got[2, 0] == ("user", "do\n\nthis", "instruction")
     assert got[3, 1] == ("assistant", "", "prompt") and got[4, 0] == ("user", "x", "conversations") and got[8, 0] == ("", "", "messages")
-    assert got[5, 0] == got[6, 0] == got[7, 0] == (None, None, None)
+    assert got[5, 0] == (None, None, None) and got[6, 0] == (None, "{", None) and got[7, 0] == (None, '{"unknown": 1}', None)
     out = {r.conv_id: r for r in chat.digest_conversations(chat.format_turns(turns)).collect()}
     assert out[4].turns_sha256 == hashlib.sha256(b"user\nx\nassistant\ny\\\n").hexdigest()
     assert (out[4].loss_chars, out[4].loss_sha256) == (2, hashlib.sha256(b"y\\").hexdigest())
     assert chat.digest_conversations(chat.format_turns(turns.filter("1 = 0"))).count() == 0
 
 
+def test_chat_of_mixed_layouts(spark, folder):
+    """The same conversations in every layout give the same turns and digests, whatever else their records hold."""
+    talks = defaultdict(list)
+    for r in table(spark, folder, "conversations").limit(200).orderBy("conv_id", "turn").collect():
+        talks[r.conv_id].append((r.role, r.text or ""))
+    layouts = [
+        lambda t: {"id": 7, "messages": [{"role": r, "content": x, "name": None} for r, x in t]},
+        lambda t: {"conversations": [{"from": {"user": "human", "assistant": "gpt"}.get(r, r), "value": x} for r, x in t], "source": {"a": [1]}}]
+    pairs = [lambda u, a: {"instruction": u, "output": a, "id": 1}, lambda u, a: {"prompt": u, "response": a}, lambda u, a: {"completion": a, "prompt": u, "tags": []},
+             lambda u, a: {"question": u, "answer": a, "score": 0.5}]
+    records, want = [], {}
+    for k, (conv, turns) in enumerate(sorted(talks.items())):
+        pair = len(turns) == 2 and [r for r, _ in turns] == ["user", "assistant"]
+        made = pairs[k % 4](turns[0][1], turns[1][1]) if pair and k % 3 else layouts[k % 2](turns)
+        records.append((conv, json.dumps(made)))
+        want[conv] = turns
+    out = {r.conv_id: r for r in chat.digest_conversations(chat.format_turns(chat.canonical_turns(
+        spark.createDataFrame(records, "id long, record string"), "record", "id"))).collect()}
+    assert set(out) == set(want)
+    for conv, turns in want.items():
+        said = "".join(x for r, x in turns if r == "assistant")
+        assert (out[conv].n_turns, out[conv].loss_chars) == (len(turns), len(said))
+        assert out[conv].turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for r, x in turns).encode()).hexdigest()
+        assert out[conv].loss_sha256 == hashlib.sha256(said.encode()).hexdigest()
+
+
+def test_chat_keeps_every_content(spark):
+    records = [(1, json.dumps({"id": 3, "role": "user", "text": 0})), (2, json.dumps({"messages": [], "id": 1})), (3, json.dumps({"prompt": False, "response": "r"})),
+               (4, json.dumps({"prompt": "p", "response": "r", "completion": "c"})), (5, "[1]")]
+    got = defaultdict(list)
+    for r in chat.canonical_turns(spark.createDataFrame(records, "id long, record string"), "record", "id").orderBy("conv_id", "turn").collect():
+        got[r.conv_id].append((r.role, r.text))
+    assert got == {1: [("user", "0")], 3: [("user", "false"), ("assistant", "r")], 4: [(None, records[3][1])], 5: [(None, "[1]")]}
+
+
+def test_long_word():
+    """A word of any length is merged in about linear time."""
+    rng = np.random.default_rng(3)
+    coder, library = bpe.forced_boundary_bpe(WORD_BPE), Tokenizer.from_file(WORD_BPE)
+    for n in (63, 64, 65, 66, 500, 200_000):
+        for word in ("".join(rng.choice(list("etaoinshr"), n)), "a" * n):
+            assert np.frombuffer(coder.encode(word), "<u4").tolist() == library.encode(word, add_special_tokens=False).ids
+
+
 def base_counts(text):
     w = WORDS.findall(text or "")
     at = defaultdict(list)
