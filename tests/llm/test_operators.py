@@ -169,6 +169,15 @@ def test_long_word():
             assert np.frombuffer(coder.encode(word), "<u4").tolist() == library.encode(word, add_special_tokens=False).ids
 
 
+def test_forest_of_mixed_lengths(spark):
+    """Vectors of different length under one label link with nothing of another length."""
+    rows = [(1, [1.0, 0.0], 0), (2, [1.0, 0.0, 0.0], 0), (3, [1.0, 0.001], 0), (4, [1.0, 0.0, 0.001], 0), (None, [1.0, 0.0], 0), (5, [], 0), (6, None, 0)]
+    got = forest.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert len(got) == len(rows)
+    found = {r.vec_id: r.component_id for r in got}
+    assert found == {1: 1, 2: 2, 3: 1, 4: 2, None: None, 5: 5, 6: 6}
+
+
 def base_counts(text):
     w = WORDS.findall(text or "")
     at = defaultdict(list)
