@@ -254,6 +254,23 @@ def test_forest(spark):
     assert forest.near_vectors(df.filter("1 = 0")).count() == 0
 
 
+@pytest.mark.parametrize("length", [2, 3, 12])
+def test_forest_loses_no_link(spark, length):
+    """Deep trees over vectors of any length find every pair, also those right above the threshold."""
+    rng = np.random.default_rng(length)
+    v = rng.normal(size=(400, length))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    turn = rng.normal(size=v.shape)
+    turn -= (turn * v).sum(1, keepdims=True) * v
+    turn /= np.linalg.norm(turn, axis=1, keepdims=True)
+    cosine = rng.uniform(0.975, 0.985, (400, 1))
+    v = np.concatenate([v, v * cosine + turn * np.sqrt(1 - cosine ** 2)])
+    df = spark.createDataFrame([(i, x.tolist(), 1) for i, x in enumerate(v)], "vec_id long, embedding array<double>, label int")
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    got = {r.vec_id: r.n_links for r in forest.near_vectors(df, leaf=8).collect()}
+    assert got == dict(enumerate(((u @ u.T >= 0.98).sum(1) - 1).tolist()))
+
+
 def test_language(spark, folder, odd, none):
     docs = table(spark, folder, "documents")
     profiles = langid.fit_profiles(docs.filter(fold("doc_id", 5) != 0))
