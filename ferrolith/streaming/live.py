@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
@@ -55,9 +56,9 @@ def passages(reads: DataFrame, key: str, moment: str, minutes: int = 5, delay: s
         key, "first_seen", "last_seen", "reads")
 
 
-#: Copies of a plate's registry state, so that one plate's reads spread over tasks.
-SHARES = 8
-_ENTRY = "at array<long>, there array<boolean>, acces array<string>, marque array<string>, nom array<string>"
+#: Copies of a plate's registry state, so that one plate's reads spread over tasks, and groups of plates that share a state.
+SHARES, GROUPS = 8, 1024
+_ENTRY = "plate array<string>, at array<long>, there array<boolean>, acces array<string>, marque array<string>, nom array<string>"
 
 
 def live_decisions(reads: DataFrame, changes: DataFrame, read_id: str, moment: str = "timestamp", plate: str = "plate_number",
@@ -68,9 +69,11 @@ def live_decisions(reads: DataFrame, changes: DataFrame, read_id: str, moment: s
     ``moment`` and seq, which orders changes of one moment. A read is decided by
     the changes up to its moment that have arrived with it or before; a change of
     the same moment counts. An add for a plate that is there is rejected, a
-    toggle for one that is not does nothing. The state of a plate holds its
+    toggle for one that is not does nothing. The state holds a plate's
     entries of the last ``keep`` before its newest row and the one before them,
     so late reads find what held at their time and the state does not grow.
+    Plates share a state in ``GROUPS`` groups by a hash, as a call per plate
+    costs far more than its few rows.
     """
     length = reads.sparkSession.sql(f"SELECT CAST(INTERVAL '{keep}' AS INTERVAL DAY TO SECOND) AS d").first()["d"]
     span = int(length.total_seconds() * 1e6)
@@ -82,36 +85,48 @@ def live_decisions(reads: DataFrame, changes: DataFrame, read_id: str, moment: s
     theirs = changes.select(
         text.plate_key(F.col("plaque")).alias("normalized_plate"), F.explode(F.sequence(F.lit(0), F.lit(SHARES - 1))).alias("share"),
         F.unix_micros(F.col(moment).cast("timestamp")).alias("at"), F.col("seq").cast("long").alias("seq"), "op", "plaque", "acces", "marque", "nom")
+    moment_of = itemgetter(0)
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(frames)).sort_values(["at", "seq"], kind="stable")
-        entries = list(zip(*state.get, strict=True)) if state.exists else []
-        for row in rows[rows["op"].notna()].itertuples():
-            place = bisect_right([e[0] for e in entries], row.at)
-            there, *values = entries[place - 1][1:] if place else (False, None, None, None)
-            if row.op == "add" and not there:
-                new = (True, row.acces, row.marque, row.nom)
-            elif row.op == "delete":
+        entries: dict[str, list[tuple]] = {}
+        for name, *entry in zip(*state.get, strict=True) if state.exists else ():
+            entries.setdefault(name, []).append(tuple(entry))
+        changed = rows[rows["op"].notna()]
+        for name, at, op, *values in zip(*(changed[c].tolist() for c in ("normalized_plate", "at", "op", "acces", "marque", "nom")), strict=True):
+            own = entries.get(name, [])
+            place = bisect_right(own, at, key=moment_of)
+            there, *last = own[place - 1][1:] if place else (False, None, None, None)
+            if op == "add" and not there:
+                new = (True, *values)
+            elif op == "delete":
                 new = (False, None, None, None)
-            elif row.op == "toggle" and there:
-                new = (True, "non" if values[0] == "oui" else "oui", *values[1:])
+            elif op == "toggle" and there:
+                new = (True, "non" if last[0] == "oui" else "oui", *last[1:])
             else:
                 continue
-            entries.insert(place, (int(row.at), *new))
+            own.insert(place, (int(at), *new))
+            entries[name] = own
         held = rows[rows["op"].isna()]
         if len(held):
-            place = np.searchsorted(np.array([e[0] for e in entries], np.int64), held["at"].to_numpy(np.int64), side="right")
-            found = [entries[k - 1] if k else (0, False, None, None, None) for k in place]
+            found = []
+            for name, at in zip(held["normalized_plate"].tolist(), held["at"].to_numpy(np.int64).tolist(), strict=True):
+                own = entries.get(name, [])
+                place = bisect_right(own, at, key=moment_of)
+                found.append(own[place - 1] if place else (0, False, None, None, None))
             yield pd.DataFrame({
                 read_id: held["seq"], "plaque": held["plaque"], "at": held["at"], "resultat": [
                     access.AUTHORISED if e[1] and e[2] == "oui" else access.REFUSED for e in found],
-                "normalized_plate": key[0], "resident_name": [e[4] if e[1] else None for e in found]})
-        newest = max(int(rows["at"].max()), entries[-1][0] if entries else 0)
-        old = max(bisect_right([e[0] for e in entries], newest - span) - 1, 0)
+                "normalized_plate": held["normalized_plate"], "resident_name": [e[4] if e[1] else None for e in found]})
+        seen = rows.dropna(subset="at").drop_duplicates("normalized_plate", keep="last")  # rows are in order of time
+        for name, at in zip(seen["normalized_plate"].tolist(), seen["at"].tolist(), strict=True):
+            if own := entries.get(name):
+                entries[name] = own[max(bisect_right(own, max(int(at), own[-1][0]) - span, key=moment_of) - 1, 0):]
         if entries:
-            state.update(tuple(map(list, zip(*entries[old:], strict=True))))
+            state.update(tuple(map(list, zip(*((name, *e) for name, own in entries.items() for e in own), strict=True))))
 
-    decided = mine.unionByName(theirs).groupBy("normalized_plate", "share").applyInPandasWithState(
+    both = mine.unionByName(theirs).withColumn("group", F.pmod(F.xxhash64("normalized_plate"), F.lit(GROUPS)).cast("int"))
+    decided = both.groupBy("group", "share").applyInPandasWithState(
         step, f"{read_id} long, plaque string, at long, resultat string, normalized_plate string, resident_name string", _ENTRY, "append", "NoTimeout")
     return decided.select(read_id, "plaque", F.timestamp_micros("at").cast("timestamp_ntz").alias("timestamp"), "resultat", "normalized_plate", "resident_name")
 

@@ -109,3 +109,19 @@ def test_previous_rental_may_come_later(spark, feed, tmp_path):
     assert {i: found[i] for i in (1, 2, 3)} == {1: (31.0, True), 2: (45.0, True), 3: (None, False)} and set(found) == {1, 2, 3}
     state = spark.read.format("statestore").option("joinSide", "left").load(str(tmp_path / "state"))
     assert state.count() == 1
+
+
+def test_plates_share_states(spark, feed, tmp_path, monkeypatch):
+    monkeypatch.setattr(live, "GROUPS", 2)
+    put, source, run = feed
+    plates = [f"P{k}" for k in range(20)]
+    stream = lambda: live.live_decisions(source("reads", READ), source("changes", CHANGE), "id", keep="1 hour")
+    put("changes", CHANGE, [(k, at(k % 3), p, "b", f"name {p}", "oui", "add") for k, p in enumerate(plates)])
+    put("reads", READ, [(k, at(5), p, 0.9) for k, p in enumerate(plates)])
+    assert {(r["normalized_plate"], r["resultat"], r["resident_name"]) for r in run(stream()).collect()} == {(p, "AUTHORISED", f"name {p}") for p in plates}
+    # one plate moves on; the others in its group keep what they had
+    put("changes", CHANGE, [(50 + k, at(10 + k), "P3", None, None, None, "toggle") for k in range(3)])
+    put("reads", READ, [(100 + k, at(300), p, 0.9) for k, p in enumerate(plates)])
+    late = {r["normalized_plate"]: r["resultat"] for r in run(stream()).filter("id >= 100").collect()}
+    assert late == {p: "REFUSED" if p == "P3" else "AUTHORISED" for p in plates}
+    assert spark.read.format("statestore").load(str(tmp_path / "state")).count() <= 2 * live.SHARES
