@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
+from typing import TYPE_CHECKING
 
 import numpy as np
 
 from ferrolith.llm.hashing import mix, text_blocks
 
+if TYPE_CHECKING:
+    from tokenizers import Encoding
+
 #: The characters of Unicode white space, as the tokenizers' patterns see them.
 SPACE = " \t\n\x0b\x0c\r\x85\xa0  -     　"
 TWO_SPACES = re.compile(f"[{SPACE}][{SPACE}]|^[{SPACE}]|[{SPACE}]$")
@@ -18,7 +24,9 @@ CHUNKS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 KEPT_PIECES = 700_000
 #: Texts that are handed over, and bytes of text that are cut, at once.
 TEXTS = 1024
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
+#: Groups of a thousand pieces that the library encodes in one call; its results take ten times the memory of the pieces.
+CALL = 8
 #: Kinds of bytes: gaps, letters, digits, other ASCII signs; a word with any other byte, or with an apostrophe, stays whole.
 GAP, LETTER, DIGIT, SIGN, ODD = range(5)
 KIND = np.full(256, ODD, np.int8)
@@ -183,6 +191,9 @@ class PieceEncoder:
         core = piece[1:] if piece[:1] == b" " else piece
         return core.isalnum() or core.decode().split() == [core.decode()]
 
+    def _encoded(self, groups: list[list[bytes]], mark: bytes) -> Iterator[tuple[list[bytes], Encoding]]:
+        return zip(groups, self.tokenizer.encode_batch_fast([mark.join(g).decode() for g in groups], add_special_tokens=False), strict=True)
+
     def _learn(self, pieces: list[bytes], learned: dict[bytes, bytes], at_once: int = 1000) -> None:
         """Ids of the pieces from the library, a thousand in one call with marks between them."""
         plain, odd = [], []
@@ -190,8 +201,7 @@ class PieceEncoder:
             (plain if self._plain(p) else odd).append(p)
         groups = [plain[i:i + at_once] for i in range(0, len(plain), at_once)]
         mark = self.mark.encode()
-        encoded = self.tokenizer.encode_batch_fast([mark.join(g).decode() for g in groups], add_special_tokens=False)
-        for group, e in zip(groups, encoded, strict=True):
+        for group, e in ((g, x) for i in range(0, len(groups), CALL) for g, x in self._encoded(groups[i:i + CALL], mark)):
             ids = np.array(e.ids, "<u4")
             parts = np.flatnonzero(ids == self.mark_id)
             if len(parts) != len(group) - 1:
@@ -206,6 +216,13 @@ class PieceEncoder:
             learned[piece] = self._whole(piece.decode())
 
 
+def give_back() -> None:
+    """Return what this worker has freed to the system (the C library keeps it otherwise); workers live on beside other stages."""
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 @lru_cache(maxsize=4)
 def piece_encoder(path: str) -> PieceEncoder:
     """One encoder per file and Python worker."""

@@ -55,7 +55,7 @@ def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
 
 
 class GramTable:
-    """Bound vectors of the trigrams met so far in a worker; starts anew when full, results stay the same."""
+    """Bound vectors of the trigrams met so far in a task; starts anew when full, results stay the same."""
 
     def __init__(self, dimensions: int, seed: int, rows: int = 16384):
         self.dimensions, self.seed, self.rows = dimensions, seed, rows
@@ -89,11 +89,6 @@ class GramTable:
         total += counts @ self.vectors[self.slot[grams]]
 
 
-@lru_cache(maxsize=2)
-def gram_table(dimensions: int, seed: int) -> GramTable:
-    return GramTable(dimensions, seed)
-
-
 def fit_profiles(docs: DataFrame, lang: str = "lang", text: str = "text", dimensions: int = DIMENSIONS,
                  seed: int = 1) -> dict[str, np.ndarray]:
     """Prototype vector of each language: the bundle of all its n-grams over all rows.
@@ -142,11 +137,12 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "text
     at = docs.columns.index(text)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors_of = GramTable(dimensions, seed)  # goes with the task: workers live on beside other stages
         for batch in batches:
             found, scores = [], []
             for i in range(0, batch.num_rows, 256):
                 grams = [gram_counts(body.as_py() or "") for body in batch.column(at).slice(i, 256)]
-                vectors = gram_table(dimensions, seed).bundle(grams).astype(np.float64)
+                vectors = vectors_of.bundle(grams).astype(np.float64)
                 cosines = vectors @ table.T / np.maximum(1e-12, np.linalg.norm(vectors, axis=1))[:, None]
                 for (held, _), row in zip(grams, cosines, strict=True):
                     best = int(np.argmax(row)) if len(held) and names else -1

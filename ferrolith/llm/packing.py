@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferrolith.llm.encoder import TEXTS, piece_encoder
+from ferrolith.llm.encoder import TEXTS, give_back, piece_encoder
 from ferrolith.session import settle
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
@@ -42,6 +42,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, do
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
                                                  names=["doc_id", "piece", "start", "length", "ids"])
+        give_back()
 
     return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(cut, PIECES)
 
