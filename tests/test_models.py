@@ -176,3 +176,14 @@ def test_principal_components_and_zones(spark):
     assert grouping.components(scaled).explainedVariance[0] > 0.99
     model = grouping.centres(scaled, 2)
     assert grouping.centre_table(spark, model, ["a", "b"]).count() == 2
+
+
+def test_topic_vectors_need_no_python(spark, monkeypatch):
+    """The decomposition reads its rows many times; they come from a table of vectors, not through Python."""
+    seen, matrix = [], grouping.RowMatrix
+    monkeypatch.setattr(grouping, "RowMatrix", lambda rows, **options: seen.append(rows) or matrix(rows, **options))
+    weights = spark.createDataFrame([(1, "a", 0.6), (1, "b", 0.8), (2, "b", 1.0), (3, "c", 1.0)], "id int, term string, weight double")
+    _, _, summary = grouping.topics(weights, "id", 2)
+    assert [hasattr(rows, "columns") for rows in seen] == [True] and summary.count() == 2
+    stored = sorted((list(r.row.indices), list(r.row.values)) for r in seen[0].collect())
+    assert stored == [([0, 1], [0.6, 0.8]), ([1], [1.0]), ([2], [1.0])]
