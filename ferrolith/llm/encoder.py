@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 import os
 import re
 from collections.abc import Iterator
@@ -71,7 +70,7 @@ class PieceEncoder:
         self.mark = " ~ " if self.word_ends else "\n"
         ids = self.tokenizer.encode(self.mark, add_special_tokens=False).ids
         self.mark_id = ids[0] if len(ids) == 1 else None
-        self._empty()
+        self.empty()
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
@@ -92,7 +91,7 @@ class PieceEncoder:
     def _numbers(self, pieces: list[bytes]) -> np.ndarray:
         """Numbers of the pieces in the store, which learns those it lacks."""
         if len(self.known) + len(pieces) > KEPT_PIECES:
-            self._empty()
+            self.empty()
         numbers = np.fromiter((self.known.get(p, -1) for p in pieces), np.int64, len(pieces))
         lacking = np.flatnonzero(numbers < 0)
         if len(lacking):
@@ -109,7 +108,8 @@ class PieceEncoder:
             numbers[lacking] = [self.known[pieces[k]] for k in lacking]
         return numbers
 
-    def _empty(self) -> None:
+    def empty(self) -> None:
+        """Forget all pieces; the tokenizer stays."""
         self.known: dict[bytes, int] = {}
         self.begin, self.length, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, "<u4")
 
@@ -216,13 +216,6 @@ class PieceEncoder:
             learned[piece] = self._whole(piece.decode())
 
 
-def give_back() -> None:
-    """Return what this worker has freed to the system (the C library keeps it otherwise); workers live on beside other stages."""
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
-
-
 @lru_cache(maxsize=4)
 def piece_encoder(path: str) -> PieceEncoder:
     """One encoder per file and Python worker."""

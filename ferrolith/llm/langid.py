@@ -12,11 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ferrolith.llm.workers import frugal
+
 #: Letters are dealt to this many symbols (0 is the gap between words); a trigram is three symbols.
 SYMBOLS = 128
 DIMENSIONS = 1024
 #: Share of the labelled texts that may be odd (mislabelled, mostly names or numbers) and do not lower their language's floor.
 ODD_SHARE = 0.001
+#: Trigrams whose vectors are unfolded at once.
+GRAMS = 1024
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -63,14 +67,15 @@ class GramTable:
 
     def clear(self) -> None:
         self.slot, self.used = np.full(SYMBOLS ** 3, -1, np.int32), 0
-        self.vectors = np.empty((self.rows, self.dimensions), np.float32)
+        self.vectors = np.empty((self.rows, self.dimensions), np.int8)
 
     def bundle(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """One row per text: the sum of the bound vectors of all its n-grams."""
         total = np.zeros((len(texts), self.dimensions), np.float32)
         for grams in np.array_split(np.unique(np.concatenate([g for g, _ in texts])), 1 + sum(len(g) for g, _ in texts) // (1 << 20)):
-            for i in range(0, len(grams), self.rows):
-                self._add(total, texts, grams[i:i + self.rows])
+            step = min(self.rows, GRAMS)
+            for i in range(0, len(grams), step):
+                self._add(total, texts, grams[i:i + step])
         return total
 
     def _add(self, total: np.ndarray, texts: list[tuple[np.ndarray, np.ndarray]], grams: np.ndarray) -> None:
@@ -83,10 +88,9 @@ class GramTable:
         self.used += len(new)
         counts = np.zeros((len(texts), len(grams)), np.float32)
         for row, (g, n) in zip(counts, texts, strict=True):
-            at = np.searchsorted(grams, g)
-            here = (at < len(grams)) & (grams[np.minimum(at, len(grams) - 1)] == g)
-            row[at[here]] = n[here]
-        total += counts @ self.vectors[self.slot[grams]]
+            a, b = np.searchsorted(g, (grams[0], grams[-1] + 1))  # both are in order, and grams lacks none of the text's between
+            row[np.searchsorted(grams, g[a:b])] = n[a:b]
+        total += counts @ self.vectors[self.slot[grams]].astype(np.float32)
 
 
 def fit_profiles(docs: DataFrame, lang: str = "lang", text: str = "text", dimensions: int = DIMENSIONS,
@@ -109,14 +113,14 @@ def fit_profiles(docs: DataFrame, lang: str = "lang", text: str = "text", dimens
         for name, held in sums.items():
             grams = np.flatnonzero(held)
             vector = np.zeros(dimensions)
-            for i in range(0, len(grams), 2048):  # double: counts of a whole task may pass what single can hold
-                part = grams[i:i + 2048]
+            for i in range(0, len(grams), GRAMS):  # double: counts of a whole task may pass what single can hold
+                part = grams[i:i + GRAMS]
                 vector += held[part].astype(np.float64) @ gram_vectors(part, dimensions, seed).astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array([name] * dimensions), pa.array(np.arange(dimensions), pa.int32()),
                                               pa.array(vector.astype(np.int64))], names=["lang", "at", "value"])
 
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(lang, text)
-    parts = rows.mapInArrow(bundles, "lang string, at int, value long").groupBy("lang", "at").agg(F.sum("value").alias("value"))
+    parts = rows.mapInArrow(frugal(bundles), "lang string, at int, value long").groupBy("lang", "at").agg(F.sum("value").alias("value"))
     profiles: dict[str, np.ndarray] = {}
     for r in parts.collect():  # languages x dimensions numbers, whatever the input
         profiles.setdefault(r["lang"], np.zeros(dimensions))[r["at"]] = r["value"]
@@ -151,7 +155,7 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], text: str = "text
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())],
                                              names=[*batch.schema.names, "lang_pred", "score"])
 
-    return docs.mapInArrow(predict, T.StructType([*docs.schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(frugal(predict), T.StructType([*docs.schema, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
 def score_floors(scored: DataFrame, lang: str = "lang") -> dict[str, float]:

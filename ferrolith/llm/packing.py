@@ -10,7 +10,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferrolith.llm.encoder import TEXTS, give_back, piece_encoder
+from ferrolith.llm.encoder import piece_encoder
+from ferrolith.llm.workers import frugal
 from ferrolith.session import settle
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
@@ -18,33 +19,35 @@ PIECES = "doc_id long, piece int, start long, length long, ids binary"
 TASK_RANGE = 1 << 40
 
 
-def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, doc_id: str = "doc_id", text: str = "text",
+                 keep: bool = True) -> DataFrame:
     """(doc_id, piece, start, length, ids): whole texts as ids, cut only when longer than ``capacity``.
 
     A null text is empty (one piece with the end id); the first piece of a cut
     document takes the remainder. ``ids`` are little-endian unsigned 32-bit
     values as binary. A null ``doc_id`` and repeated rows are kept as they are.
+    With ``keep`` a worker's store of known pieces serves its later tasks;
+    without, it is emptied after each task.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = piece_encoder(tokenizer), np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            for i in range(0, batch.num_rows, TEXTS):
-                part = batch.slice(i, TEXTS)
-                rows = []
-                encoded = encoder.encode_all([t or "" for t in part.column(1).to_pylist()])
-                for number, raw in zip(part.column(0).to_pylist(), encoded, strict=True):
-                    raw += end
-                    n = len(raw) // 4
-                    cuts = [0, *range(n % capacity or capacity, n + 1, capacity)]
-                    rows += [(number, k, a, b - a, raw[4 * a:4 * b]) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
-                columns = list(zip(*rows, strict=True))
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                                                 names=["doc_id", "piece", "start", "length", "ids"])
-        give_back()
-
-    return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(cut, PIECES)
+        for part in batches:
+            rows = []
+            encoded = encoder.encode_all([t or "" for t in part.column(1).to_pylist()])
+            for number, raw in zip(part.column(0).to_pylist(), encoded, strict=True):
+                raw += end
+                n = len(raw) // 4
+                cuts = [0, *range(n % capacity or capacity, n + 1, capacity)]
+                rows += [(number, k, a, b - a, raw[4 * a:4 * b]) for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False))]
+            columns = list(zip(*rows, strict=True))
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                                             names=["doc_id", "piece", "start", "length", "ids"])
+        if not keep:
+            encoder.empty()
+
+    return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(frugal(cut), PIECES)
 
 
 def plan_slots(counts: dict[int, int], capacity: int) -> np.ndarray:
