@@ -271,6 +271,17 @@ def test_forest_loses_no_link(spark, length):
     assert got == dict(enumerate(((u @ u.T >= 0.98).sum(1) - 1).tolist()))
 
 
+@pytest.mark.parametrize("block", [4, 2048])
+def test_forest_connects_through_larger_ids(spark, monkeypatch, block):
+    """A vector whose neighbours all have larger ids stays connected through them."""
+    monkeypatch.setattr(forest, "BLOCK", block)
+    angles = {1: 0, 9: 10, 2: 20, 8: 30, 3: 40, 4: 90, 7: 100, 5: 110, 6: 200}  # neighbours are 10 degrees apart
+    rows = [(i, [math.cos(math.radians(a)), math.sin(math.radians(a))], 0) for i, a in angles.items()]
+    got = {r.vec_id: r for r in forest.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert {i: r.component_id for i, r in got.items()} == {1: 1, 9: 1, 2: 1, 8: 1, 3: 1, 4: 4, 7: 4, 5: 4, 6: 6}
+    assert {i: r.n_links for i, r in got.items()} == {1: 1, 9: 2, 2: 2, 8: 2, 3: 1, 4: 1, 7: 2, 5: 1, 6: 0}
+
+
 def test_language(spark, folder, odd, none):
     docs = table(spark, folder, "documents")
     profiles = langid.fit_profiles(docs.filter(fold("doc_id", 5) != 0))
