@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 from ferrolith.llm import bpe, chat, forest, jaccard, langid, packing, ppm, quality, render, token_file
 from ferrolith.llm.encoder import PieceEncoder
 from ferrolith.llm.queries import BYTE_BPE, WORD_BPE, fold
-from ferrolith.session import new_folder
+from ferrolith.session import new_folder, settle
 from ferrolith.sources.tables import table
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -234,6 +234,29 @@ def test_quality_ratio(spark, folder):
         assert r.ratio == pytest.approx(sum(want[b] for b in both[r.doc_id]) / len(both[r.doc_id]))
 
 
+def test_quality_fits_on_all_labels(spark):
+    """No label is left out, however many there are, and the cut is the best one of all rows."""
+    rng = np.random.default_rng(4)
+    good = rng.random(25_000) < 0.7
+    ratio = np.round(rng.normal(size=len(good)) + good, 2) + 0.0  # many ties
+    failed = rng.random(len(good)) < 0.1
+    labels = spark.createDataFrame([(i, int(g)) for i, g in enumerate(good)] + [(7, 0), (None, 1), (8, None)], "doc_id long, quality int")
+    good[7] = False
+    sample = quality.labelled_sample(labels)
+    assert sample.count() == len(good)
+    rows = [(i, float(x), bool(f)) for i, (x, f) in enumerate(zip(ratio, failed, strict=True))] + [(None, 0.0, False), (99_999, 0.0, False), (5, -9.0, False)]
+    plain = spark.createDataFrame(rows, "doc_id long, ratio double, base_failed boolean").repartition(3)
+    scored = settle(plain.withColumn("_row", F.monotonically_increasing_id()))
+    want = Counter((None if i is None or i > len(good) else int(good[i]), x) for i, x, _ in rows)
+    for way in (scored, plain):
+        assert Counter((r["_good"], r.ratio) for r in quality.with_labels(way, sample).collect()) == want
+    x, g = np.array([(r[1], good[r[0]]) for r in rows if r[0] is not None and r[0] < len(good) and not r[2]]).T
+    cuts = np.unique(x)
+    best = max(cuts, key=lambda c: ((x <= c) & (g == 0)).sum() / (g == 0).sum() - ((x <= c) & (g == 1)).sum() / (g == 1).sum())
+    assert quality.fit_threshold(quality.with_labels(scored, sample)) == pytest.approx((best + cuts[cuts > best].min()) / 2)
+    assert quality.fit_threshold(quality.with_labels(scored, sample.filter("_good = 1"))) is None
+
+
 def test_forest(spark):
     rng = np.random.default_rng(3)
     centres = rng.normal(size=(40, 16))
