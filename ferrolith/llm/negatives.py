@@ -233,14 +233,16 @@ def _matches(anchors: DataFrame, vectors: DataFrame, parts: int, most: int, posi
     """(anchor_id, goal, other_id, score): per block of anchors and part of the vectors the best partners.
 
     Blocks of anchors are copied to each part; the vectors move once. Blocks
-    that can't hold partners, by the range of their labels, don't meet.
+    that can't hold partners, by the range of their labels, don't meet. The
+    planner judges the anchors by their size before they are copied, so it is
+    told not to send all copies through the driver to all tasks.
     """
     theirs = vectors.select(F.pmod(F.xxhash64("block"), F.lit(parts)).alias("part"), *(F.col(c).alias(f"b_{c}") for c in vectors.columns if c != "block"))
     ours = anchors.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), *(F.col(c).alias(f"a_{c}") for c in anchors.columns))
     overlap = (F.col("a_lo") <= F.col("b_hi")) & (F.col("b_lo") <= F.col("a_hi"))
     apart = ~((F.col("a_lo") == F.col("b_hi")) & (F.col("b_lo") == F.col("a_hi")) & (F.col("a_lo") == F.col("b_lo")))
     left, right = ours.repartition(parts, "part").alias("l"), theirs.repartition(parts, "part").alias("r")
-    met = left.join(right, (F.col("l.part") == F.col("r.part")) & (F.col("a_dim") == F.col("b_dim")) & (apart if positives else overlap))
+    met = left.join(right.hint("merge"), (F.col("l.part") == F.col("r.part")) & (F.col("a_dim") == F.col("b_dim")) & (apart if positives else overlap))
     return met.select("l.part", *(c for c in (*left.columns, *right.columns) if c != "part")).mapInArrow(
         lambda batches: _meet(batches, most, positives), "anchor_id long, goal int, other_id long, score long")
 
@@ -280,7 +282,7 @@ def hard_negatives(rows: DataFrame, anchor: Column, positives: int = 5, negative
     goals = near.groupBy("anchor_id").agg(F.map_from_entries(F.collect_list(F.struct("place", "positive_score"))).alias("m")).select(
         F.col("anchor_id").alias("id"), F.transform(F.sequence(F.lit(1), F.lit(positives)), lambda k: F.coalesce(
             F.try_element_at("m", k), F.lit(-MOST))).alias("goals"))
-    aimed = settle(_blocks(chosen.join(goals, "id").repartition(heaps), BLOCK_ANCHORS), "aimed")
+    aimed = settle(_blocks(chosen.join(goals.hint("merge"), "id").repartition(heaps), BLOCK_ANCHORS), "aimed")
     far = _first(_matches(aimed, vectors, parts, negatives, positives), negatives).withColumn("place", F.col("goal") + 1)
     return far.join(near, ["anchor_id", "place"]).select(
         "anchor_id", "positive_id", "rank", F.col("other_id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))

@@ -220,3 +220,26 @@ def test_mixture_of_nothing(spark):
 def test_mixture_is_native(spark, folder):
     plan = QUERIES["op13_source_mixture"](spark, folder)._jdf.queryExecution().toString()
     assert "Python" not in plan and "InArrow" not in plan and "InPandas" not in plan
+
+
+def plans_of(module, monkeypatch, run):
+    """Plans of the tables that ``run`` settles, by name, and of its result under ``result``."""
+    plans, settle = {}, module.settle
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+
+    def noted(df, label):
+        plans[label] = plan(df)
+        return settle(df, label)
+
+    monkeypatch.setattr(module, "settle", noted)
+    plans["result"] = plan(run())
+    return plans
+
+
+def test_copies_of_anchors_are_not_broadcast(spark, monkeypatch):
+    """Anchors are copied to each part of the vectors; the copies must not all pass through the driver, however small the anchors are."""
+    df = spark.createDataFrame([(i, [float(i % 7), 1.0], i % 2) for i in range(40)], "vec_id long, embedding array<double>, label int")
+    plans = plans_of(negatives, monkeypatch, lambda: negatives.hard_negatives(df, F.col("id") % 5 == 0))
+    for name in ("positives", "result"):
+        assert re.search(r"SortMergeJoin \[cast\(part", plans[name]) and not re.search(r"BroadcastHashJoin \[cast\(part", plans[name])
+    assert "BroadcastHashJoin" not in plans["aimed"]
