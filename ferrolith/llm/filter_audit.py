@@ -74,40 +74,43 @@ def interaction_audit(rows: DataFrame, failing: Mapping[str, DataFrame], marked:
     to the next filter's ids, redundancies the failing ids left-anti joined to
     the survivors. Rows that fail nothing are set aside first and only counted.
     Every join is on ``row``, which is unique: nothing is skewed, and the sets
-    are made after the shuffle. Without rows the result is empty.
+    are made after the shuffle. Id tables grow with the documents, so both sides
+    are always dealt by row: none travels through the driver to all tasks.
+    Without rows the result is empty.
     """
     names = list(failing)
     n = len(names)
+    dealt = lambda ids: ids.hint("shuffle_hash")
     sets = range(1 << n)
     every = reduce(DataFrame.unionByName, [ids.select("row", "part", F.lit(i).alias("f")) for i, ids in enumerate(failing.values())])
     hit = every.select("row").distinct()
-    failed = settle(rows.select("row", "part").join(hit, "row", "left_semi"), "failed")
+    failed = settle(rows.select("row", "part").join(dealt(hit), "row", "left_semi"), "failed")
 
     kept = failed.withColumn("done", F.lit(0))
     for i, ids in enumerate(failing.values()):
         doubled = kept.select("row", "part", F.explode(F.array("done", F.col("done").bitwiseOR(F.lit(1 << i)))).alias("done"))
         gone = ids.select(F.col("row").alias("_row"))
-        kept = doubled.join(gone, (F.col("row") == F.col("_row")) & _holds("done", F.lit(1 << i)), "left_anti")
+        kept = doubled.join(dealt(gone), (F.col("row") == F.col("_row")) & _holds("done", F.lit(1 << i)), "left_anti")
 
     open_filters = F.array_compact(F.array(*[F.when(~_holds("done", F.lit(1 << i)), F.lit(i)) for i in range(n)]))
     waiting = kept.select("row", "part", "done", F.explode(open_filters).alias("f"))
     theirs = every.select(F.col("row").alias("_row"), F.col("f").alias("_f"))
     # differences instead of equalities: the join key stays the row alone, whose partitioning all joins share
-    removed = waiting.join(theirs, (F.col("row") == F.col("_row")) & (F.col("f") - F.col("_f") == 0), "left_semi")
-    lost = {name: removed.join(ids.select("row"), "row", "left_semi") for name, ids in marked.items()}
+    removed = waiting.join(dealt(theirs), (F.col("row") == F.col("_row")) & (F.col("f") - F.col("_f") == 0), "left_semi")
+    lost = {name: removed.join(dealt(ids.select("row")), "row", "left_semi") for name, ids in marked.items()}
     bit = F.get(F.array(*[F.lit(1 << i) for i in range(n)]), F.col("f"))
     before = F.filter(F.array(*map(F.lit, sets)), lambda s: s.bitwiseAND(bit) == 0)
     asked = every.select("row", "part", F.explode(before).alias("done"), "f")
     there = kept.select(F.col("row").alias("_row"), F.col("done").alias("_done"))
-    redundant = asked.join(there, (F.col("row") == F.col("_row")) & (F.col("done") - F.col("_done") == 0), "left_anti")
-    alone = every.join(theirs, (F.col("row") == F.col("_row")) & (F.col("f") - F.col("_f") != 0), "left_anti")
+    redundant = asked.join(dealt(there), (F.col("row") == F.col("_row")) & (F.col("done") - F.col("_done") == 0), "left_anti")
+    alone = every.join(dealt(theirs), (F.col("row") == F.col("_row")) & (F.col("f") - F.col("_f") != 0), "left_anti")
 
     counted = {"kept": kept.select("part", "done", F.lit(-1).alias("f")), "removed": removed, "redundant": redundant,
                **{f"{name}_lost": ids for name, ids in lost.items()}, "unique_fails": alone.withColumn("done", F.lit(-1))}
     counts = settle(reduce(DataFrame.unionByName, [
         ids.groupBy("part", "done", "f").agg(F.count("*").alias("n")).withColumn("kind", F.lit(kind)) for kind, ids in counted.items()]), "audit")
 
-    clean = rows.select("row", "part").join(hit, "row", "left_anti").groupBy("part").agg(F.count("*").alias("clean"))
+    clean = rows.select("row", "part").join(dealt(hit), "row", "left_anti").groupBy("part").agg(F.count("*").alias("clean"))
     parts = rows.select("part").distinct().join(clean, "part", "left")
     orders = F.split(F.lit(",".join("".join(order) for order in permutations(names))), ",")
     steps = parts.select("part", "clean", F.explode(orders).alias("filter_order")).select(
@@ -141,7 +144,7 @@ def audit_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
     """
     rows = judged_rows(docs, doc_id, text, part)
     has = lambda column: settle(rows.join(
-        labels.filter(F.col(column) == 1).select(F.col("doc_id").cast("long")), "doc_id", "left_semi").select("row"), column)
+        labels.filter(F.col(column) == 1).select(F.col("doc_id").cast("long")).hint("merge"), "doc_id", "left_semi").select("row"), column)
     return interaction_audit(rows, failing_ids(rows), {"good": has("quality"), "toxic": has("toxic")})
 
 

@@ -243,3 +243,11 @@ def test_copies_of_anchors_are_not_broadcast(spark, monkeypatch):
     for name in ("positives", "result"):
         assert re.search(r"SortMergeJoin \[cast\(part", plans[name]) and not re.search(r"BroadcastHashJoin \[cast\(part", plans[name])
     assert "BroadcastHashJoin" not in plans["aimed"]
+
+
+def test_id_tables_are_not_broadcast(spark, monkeypatch, documents):
+    """Id tables grow with the documents; small as they are here, no join sends one through the driver."""
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
+    plans = plans_of(filter_audit, monkeypatch, lambda: filter_audit.audit_documents(documents, labels))
+    for name in ("quality", "toxic", "failed", "audit"):
+        assert "Join" in plans[name] and "BroadcastHashJoin" not in plans[name]
